@@ -32,6 +32,19 @@ def _never() -> Column:
     return F.lit(False)
 
 
+def _with_narrative(top: DataFrame, cases: DataFrame) -> DataFrame:
+    """Adds the narratives of a short, already cut list.
+
+    The case table is first reduced to the listed ids. The list has a fixed
+    number of rows, so broadcasting its ids is safe and the big table is not
+    shuffled.
+    """
+    wanted = cases.select("txn_id", "reason_narrative").join(
+        F.broadcast(top.select("txn_id")), "txn_id", "left_semi"
+    )
+    return top.join(wanted, "txn_id", "left")
+
+
 def case_queue(scored: DataFrame, cases: DataFrame, first_txn=None, n: int = 12) -> DataFrame:
     """Transactions with the takeover signal, a named one first, then by risk; with narrative.
 
@@ -39,7 +52,7 @@ def case_queue(scored: DataFrame, cases: DataFrame, first_txn=None, n: int = 12)
     """
     first = F.col("txn_id") == F.lit(first_txn) if first_txn is not None else _never()
     top = scored.where(first | has_code("ato_signal")).orderBy(*_first_then_risk(first)).limit(n)
-    return top.join(cases.select("txn_id", "reason_narrative"), "txn_id", "left")
+    return _with_narrative(top, cases)
 
 
 def flagged(scored: DataFrame, n: int = 10, first_account=None) -> DataFrame:
@@ -64,7 +77,7 @@ def top_risk_approved(scored: DataFrame, cases: DataFrame, n: int = 10) -> DataF
     top = (
         scored.where(F.col("decision") == "approve").orderBy(*_first_then_risk(_never())).limit(n)
     )
-    return top.join(cases.select("txn_id", "reason_narrative"), "txn_id", "left")
+    return _with_narrative(top, cases)
 
 
 def narrative() -> Column:
