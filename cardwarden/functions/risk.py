@@ -48,34 +48,28 @@ def minutes_since(df: DataFrame, name: str = "minutes_since_new_device_login") -
 
 def geo_mismatch(df: DataFrame) -> DataFrame:
     """1 where login and home place differ; an unknown place on either side is no evidence."""
-    flag = F.coalesce(F.col("ip_geo") != F.col("home_geo"), F.lit(False))
-    return df.withColumn("geo_mismatch_flag", flag.cast("int"))
+    flag = F.expr("cast(coalesce(ip_geo <> home_geo, false) AS int)")
+    return df.withColumn("geo_mismatch_flag", flag)
 
 
 def null_safe_counts(df: DataFrame) -> DataFrame:
     """Login counts and flags with 0 where no login was matched."""
     return df.withColumns({
-        "failed_logins_1h": F.coalesce(F.col("failed_attempts_1h"), F.lit(0)),
-        "recent_ato_label": F.coalesce(F.col("ato_label"), F.lit(0)),
-        "device_is_new": F.coalesce(F.col("device_is_new"), F.lit(0)),
+        "failed_logins_1h": F.expr("coalesce(failed_attempts_1h, 0)"),
+        "recent_ato_label": F.expr("coalesce(ato_label, 0)"),
+        "device_is_new": F.expr("coalesce(device_is_new, 0)"),
     })
 
 
 def ato_label(df: DataFrame) -> DataFrame:
     """Takeover label of a login: new device, foreign place and a burst of failures."""
-    hit = (
-        (F.col("device_is_new") == 1)
-        & (F.col("ip_geo") != F.col("home_geo"))
-        & (F.col("failed_attempts_1h") >= BURST_FAILURES)
-    )
-    return df.withColumn("ato_label", F.coalesce(hit, F.lit(False)).cast("int"))
+    hit = f"device_is_new = 1 AND ip_geo <> home_geo AND failed_attempts_1h >= {BURST_FAILURES}"
+    return df.withColumn("ato_label", F.expr(f"cast(coalesce({hit}, false) AS int)"))
 
 
 def geo_is_new(df: DataFrame) -> DataFrame:
     """1 where a login comes from elsewhere than home."""
-    return df.withColumn(
-        "geo_is_new", F.coalesce(F.col("ip_geo") != F.col("home_geo"), F.lit(False)).cast("int")
-    )
+    return df.withColumn("geo_is_new", F.expr("cast(coalesce(ip_geo <> home_geo, false) AS int)"))
 
 
 def reason_code_array(minutes: str = "minutes_since_new_device_login") -> Column:
@@ -84,14 +78,12 @@ def reason_code_array(minutes: str = "minutes_since_new_device_login") -> Column
     A login that lies after the transaction (latest-row join only) is not a
     recent login, hence the lower bound on the minutes.
     """
-    gap = F.col(minutes)
-    recent = (F.col("device_is_new") == 1) & (gap >= 0) & (gap <= NEW_DEVICE_MINUTES)
-    return F.array_compact(F.array(
-        F.when(recent, F.lit(NEW_DEVICE_RECENT)),
-        F.when(F.col("geo_mismatch_flag") == 1, F.lit(GEO_MISMATCH)),
-        F.when(F.col("failed_logins_1h") >= BURST_FAILURES, F.lit(FAILED_LOGINS_BURST)),
-        F.when(F.col("recent_ato_label") == 1, F.lit(ATO_SIGNAL)),
-    ))
+    return F.expr(f"""array_compact(array(
+        CASE WHEN device_is_new = 1 AND {minutes} BETWEEN 0 AND {NEW_DEVICE_MINUTES}
+             THEN '{NEW_DEVICE_RECENT}' END,
+        CASE WHEN geo_mismatch_flag = 1 THEN '{GEO_MISMATCH}' END,
+        CASE WHEN failed_logins_1h >= {BURST_FAILURES} THEN '{FAILED_LOGINS_BURST}' END,
+        CASE WHEN recent_ato_label = 1 THEN '{ATO_SIGNAL}' END))""")
 
 
 def add_reason_codes(df: DataFrame) -> DataFrame:

@@ -82,15 +82,13 @@ def asof_join(
     """
     split = split or split_hot_keys([(left, left_ts), (right, right_ts)], by)
     out = _match(left, right, by, left_ts, right_ts, right_cols, tie, split, forward)
-    kept = F.col("_match").isNotNull() & F.col(by).isNotNull()
+    kept = f"_match IS NOT NULL AND {by} IS NOT NULL"
     if tolerance_seconds is not None:
-        gap = F.abs(F.unix_micros(left_ts) - F.col("_match._at"))
-        kept = kept & (gap <= int(tolerance_seconds * 1_000_000))
+        limit = int(tolerance_seconds * 1_000_000)
+        kept += f" AND abs(unix_micros({left_ts}) - _match._at) <= {limit}"
     extra = [SLICE] if keep_slice else []
-    return out.select(
-        *left.columns,
-        *[F.when(kept, F.col(f"_match.{c}")).alias(c) for c in right_cols],
-        *extra,
+    return out.selectExpr(
+        *left.columns, *[f"CASE WHEN {kept} THEN _match.{c} END AS {c}" for c in right_cols], *extra
     )
 
 

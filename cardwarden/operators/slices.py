@@ -52,23 +52,19 @@ class KeySplit:
         says that ``us`` runs backward (it holds minus the time); slices then
         count backward too.
         """
-        time = -F.col(us) if mirrored else F.col(us)
-        raw = F.floor((time - F.col("_cut")[0]) / F.col("_cut")[1])
-        cut = F.coalesce(F.least(F.greatest(raw, F.lit(0)), F.col("_cut")[2] - 1), F.lit(0))
-        spread = F.when(F.col(self.by).isNull(), F.pmod(F.xxhash64(us), F.lit(_NULL_KEY_SPREAD)))
-        number = (
-            F.when(F.col("_cut").isNotNull(), -cut if mirrored else cut)
-            .otherwise(F.coalesce(spread, F.lit(0)))
-            .cast("bigint")
-        )
+        time, sign = (f"-{us}", "-") if mirrored else (us, "")
+        number = F.expr(f"""cast(CASE
+            WHEN _cut IS NOT NULL THEN {sign}coalesce(
+                least(greatest(floor(({time} - _cut[0]) / _cut[1]), 0), _cut[2] - 1), 0)
+            WHEN {self.by} IS NULL THEN pmod(xxhash64({us}), {_NULL_KEY_SPREAD})
+            ELSE 0 END AS bigint)""")
         return df.join(F.broadcast(self.hot), self.by, "left").withColumn(SLICE, number)
 
     def spread(self, dim: DataFrame) -> DataFrame:
         """Repeats each row of a one-row-per-key table for every slice of its key."""
-        last = F.coalesce(F.col("_cut")[2], F.lit(1).cast("bigint")) - 1
         return (
             dim.join(F.broadcast(self.hot), self.by, "left")
-            .withColumn(SLICE, F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+            .withColumn(SLICE, F.expr("explode(sequence(0L, coalesce(_cut[2], 1L) - 1))"))
             .drop("_cut")
         )
 
@@ -115,17 +111,16 @@ def split_hot_keys(
     """
     rows = None
     for df, ts in frames:
-        part = df.select(F.col(by), F.unix_micros(ts).alias("_us"))
+        part = df.selectExpr(by, f"unix_micros({ts}) AS _us")
         rows = part if rows is None else rows.unionByName(part)
     hot = (
-        rows.where(F.col(by).isNotNull() & F.col("_us").isNotNull())
+        rows.where(f"{by} IS NOT NULL AND _us IS NOT NULL")
         .groupBy(by)
         .agg(F.count("*").alias("_n"), F.min("_us").alias("_lo"), F.max("_us").alias("_hi"))
-        .where(F.col("_n") > hot_rows)
-        .orderBy(F.col("_n").desc(), by)
+        .where(f"_n > {hot_rows}")
+        .orderBy(F.desc("_n"), by)
         .limit(max_keys)
-        .withColumn("_spans", F.ceil(F.col("_n") / slice_rows))
-        .withColumn("_width", F.ceil((F.col("_hi") - F.col("_lo") + 1) / F.col("_spans")))
-        .select(by, F.array("_lo", "_width", "_spans").alias("_cut"))
+        .selectExpr(by, "_lo", "_hi", f"ceil(_n / {slice_rows}) AS _spans")
+        .selectExpr(by, "array(_lo, ceil((_hi - _lo + 1) / _spans), _spans) AS _cut")
     )
     return KeySplit(by, hot)

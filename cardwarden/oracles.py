@@ -692,6 +692,37 @@ _SQL["n4_q6_loss_avoided"] = (
 _SQL["n4_q8_loss_and_fp"] = _SQL["a13_daily_loss_and_fp"]
 
 
+_SQL["s1_csv_feed"] = _SQL["st2_silver_stream"] = _SQL["p2_drop_rules_txn"]
+_SQL["s4_gold_sink"] = _SQL["j5_st3_stream_enrich"] = _SQL["j1_asof_fuse"]
+_SQL["s5_serving_sink"] = _SQL["st7_serving_upsert"] = _SQL["a4_latest_per_account"]
+_SQL["s6_case_table_sink"] = _SQL["n2_n3_case_table"]
+_SQL["s8_json_export"] = (
+    _SCORED, "SELECT txn_id, account_id, amount, risk_score, reason_codes FROM scored")
+_SQL["u4_dedup_stream"] = (_BASE, "SELECT event_id, ts, user_id FROM events")
+# A transaction is released when the slower stream's watermark (newest time, in whole
+# milliseconds, less an hour) has passed it.
+_SQL["j6_st5_stream_asof"] = (
+    _BASE,
+    """SELECT t.txn_id, t.account_id, t.txn_ts, a.event_ts AS last_auth_ts,
+         a.event_id AS last_event_id, a.device_is_new, a.failed_attempts_1h, a.ato_label, a.ip_geo
+       FROM txn t ASOF LEFT JOIN auth a
+       ON t.account_id = a.account_id AND t.txn_ts >= a.event_ts
+       WHERE epoch_us(t.txn_ts) <= 1000 * least(
+         (SELECT epoch_ms(max(txn_ts)) FROM txn), (SELECT epoch_ms(max(event_ts)) FROM auth))
+         - 3600000000""",
+)
+_SQL["st6_velocity_stream"] = (
+    _BASE,
+    """SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, account_id,
+         count(*) AS n_txns, CAST(sum(c) AS BIGINT) AS spend_cents FROM (
+         SELECT *, time_bucket(INTERVAL 15 MINUTE, txn_ts)
+           - INTERVAL 15 MINUTE * unnest([0, 1, 2, 3]) AS window_start FROM txn)
+       WHERE epoch_ms(window_start) + 3600000
+         <= (SELECT epoch_ms(max(txn_ts)) FROM txn) - 3600000
+       GROUP BY ALL""",
+)
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL text per registered query that SQL can express."""
     return {name: f"WITH {ctes}\n{body}" for name, (ctes, body) in _SQL.items()}

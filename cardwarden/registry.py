@@ -16,11 +16,13 @@ from .operators.quality import RULES, apply_rules, flag_warnings, rule_report, t
 from .plans import cases as case_ops
 from .plans import gold as gold_ops
 from .plans import governance, kpis, questions, scoring
-from .schemas import GOLD_COLUMNS
-from .session import configure
+from .schemas import GOLD_COLUMNS, TXN_RAW
+from .session import configure, enable_checkpoints, scratch_path
 from .sources import driver_tables as tables
-from .sources import serving
+from .sources import feeds as feed_io
+from .sources import serving, sinks
 from .sources.driver_tables import Feeds, load_feeds
+from .streaming import asof_stream, enrich, run, serving_stream, silver
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -615,6 +617,160 @@ def _(f):
     return serving.payload_columns(serving.latest_per_account(_scored(f)))
 
 
+# --- sources and sinks: write, read back ---------------------------------------------
+
+
+@query("s1_csv_feed")
+def _(spark, sf_dir):
+    path = scratch_path(spark, "landing")
+    tables.raw_txn(spark, sf_dir).write.option("header", True).csv(path)
+    landed = feed_io.read_feed(spark, path, TXN_RAW)
+    return apply_rules(to_silver(landed, "txn"), RULES["txn"])
+
+
+@query("s4_gold_sink")
+def _(spark, sf_dir):
+    f, path = load_feeds(spark, sf_dir), scratch_path(spark, "gold")
+    sinks.write_gold(_fused(f).select(*GOLD_COLUMNS), path)
+    return feed_io.read_table(spark, path).drop("txn_date")
+
+
+@query("s5_serving_sink")
+def _(spark, sf_dir):
+    f, path = load_feeds(spark, sf_dir), scratch_path(spark, "serving")
+    serving.write_serving(serving.latest_per_account(_scored(f)), path)
+    return serving.read_serving(spark, path)
+
+
+@query("s6_case_table_sink")
+def _(spark, sf_dir):
+    f, path = load_feeds(spark, sf_dir), scratch_path(spark, "cases")
+    sinks.write_table(_cases(f), path)
+    return feed_io.read_table(spark, path)
+
+
+@query("s8_json_export")
+def _(spark, sf_dir):
+    f, path = load_feeds(spark, sf_dir), scratch_path(spark, "export")
+    rows = _scored(f).select("txn_id", "account_id", "amount", "risk_score", "reason_codes")
+    sinks.write_json(rows, path)
+    return spark.read.schema(rows.schema).json(path)
+
+
+# --- trained model -------------------------------------------------------------------
+
+
+def _trained(spark: SparkSession, sf_dir: str):
+    """Stored gold, and a model fitted to its training rows."""
+    enable_checkpoints(spark)
+    f, path = load_feeds(spark, sf_dir), scratch_path(spark, "features")
+    rows = _fused(f).select(*GOLD_COLUMNS)
+    scoring.stratified_split(rows, exact=False).write.parquet(path)
+    stored = spark.read.parquet(path)
+    return stored, scoring.train_gbt(stored.where("split = 'train'"))
+
+
+@query("m3_m4_gbt_scores")
+def _(spark, sf_dir):
+    stored, model = _trained(spark, sf_dir)
+    return scoring.score(model, stored.drop("split")).select(
+        "txn_id", "fraud_label", "risk_score", "model_version"
+    )
+
+
+@query("m5_m9_model_card")
+def _(spark, sf_dir):
+    stored, model = _trained(spark, sf_dir)
+    scored = scoring.score(model, stored)
+    auc = scoring.roc_auc(scored.where("split = 'test'"))
+    first = stored.agg(F.min("txn_id")).scalar()
+    card = scoring.model_card(
+        scored, scoring.MODEL_VERSION, scoring.importances(model), auc, first
+    )
+    return card.select(
+        "model_version", F.array_join("features", ",").alias("features"),
+        F.to_json("feature_importances").alias("feature_importances"), "roc_auc",
+        "demo_txn_id", "demo_risk_score",
+    )
+
+
+# --- streams: run over what is there, then read the result ---------------------------
+
+
+def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # A stream source wants a folder or a pattern, also for a table of one file.
+    return spark.readStream.schema(tables.EVENTS).parquet(f"{sf_dir}/events.parquet*")
+
+
+@query("st2_silver_stream")
+def _(spark, sf_dir):
+    root = scratch_path(spark, "silver")
+    stream = silver.silver_stream(
+        tables.raw_txn_from(_event_stream(spark, sf_dir)), "txn", "txn_rules"
+    )
+    run.start(stream, f"{root}/data", f"{root}/checkpoint").awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{root}/data")
+
+
+@query("u4_dedup_stream")
+def _(spark, sf_dir):
+    root = scratch_path(spark, "dedup")
+    events = _event_stream(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
+    twice = events.unionByName(events).select("event_id", "ts", "user_id")
+    stream = dedup.dedup_stream(twice, "event_id", "ts", "1 hour")
+    run.start(stream, f"{root}/data", f"{root}/checkpoint").awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{root}/data")
+
+
+@query("j5_st3_stream_enrich")
+def _(spark, sf_dir):
+    root = scratch_path(spark, "enrich")
+    enrich.start_enrich(
+        tables.txn_from(_event_stream(spark, sf_dir)),
+        lambda s: load_feeds(s, sf_dir).auth,
+        lambda s: tables.accounts(s, sf_dir),
+        f"{root}/data", f"{root}/checkpoint",
+    ).awaitTermination()
+    return run.read_batches(spark, f"{root}/data")
+
+
+@query("j6_st5_stream_asof")
+def _(spark, sf_dir):
+    asof_stream.use_rocksdb(spark)
+    root = scratch_path(spark, "asof")
+    accts = tables.accounts(spark, sf_dir)
+    logins = tables.auth_from(_event_stream(spark, sf_dir))
+    stream = asof_stream.fuse_stream(
+        tables.txn_from(_event_stream(spark, sf_dir)).select("txn_id", "account_id", "txn_ts"),
+        tables.label_logins(logins, accts),
+    )
+    run.start(stream, f"{root}/data", f"{root}/checkpoint").awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{root}/data")
+
+
+@query("st6_velocity_stream")
+def _(spark, sf_dir):
+    root = scratch_path(spark, "velocity")
+    stream = silver.velocity_stream(tables.txn_from(_event_stream(spark, sf_dir)))
+    run.start(stream, f"{root}/data", f"{root}/checkpoint").awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{root}/data")
+
+
+@query("st7_serving_upsert")
+def _(spark, sf_dir):
+    root = scratch_path(spark, "upsert")
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        f = load_feeds(batch.sparkSession, sf_dir)
+        gold = enrich.fuse_microbatch(batch, f.auth, f.accounts)
+        serving_stream.upsert_serving(scoring.rule_score(gold), batch_id, root)
+
+    run.start_batches(
+        tables.txn_from(_event_stream(spark, sf_dir)), handle, f"{root}/checkpoint"
+    ).awaitTermination()
+    return serving_stream.read_serving_stream(spark, root)
+
+
 def queries() -> dict[str, Query]:
     """All registered queries."""
     return dict(_QUERIES)

@@ -8,10 +8,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.masks import pan_token
 from ..functions.risk import ato_label, geo_is_new
 from ..operators.slices import KeySplit, split_hot_keys
 
@@ -19,56 +18,64 @@ from ..operators.slices import KeySplit, split_hot_keys
 MCC_CODES = ["5411", "5812", "5541", "7011", "4511", "5999", "7995", "5732"]
 TRAVEL_MCC = ["7011", "4511"]
 
+EVENTS = (
+    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+    "props string"
+)
+CUSTOMER = (
+    "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+)
+NATION = "n_nationkey int, n_name string, n_regionkey int"
 
-def _k() -> Column:
-    return F.get_json_object("props", "$.k").try_cast("int")
+_K = "try_cast(get_json_object(props, '$.k') AS int) AS k"
+_MCC = "element_at(array({}), k % 8 + 1) AS mcc".format(", ".join(f"'{m}'" for m in MCC_CODES))
+_COUNTRY = "element_at(array('US', 'GB', 'CA'), k % 3 + 1) AS merchant_country"
+_CHANNEL = "CASE WHEN k % 3 = 2 THEN 'card-present' ELSE 'ecom' END AS channel"
+_DECISION = "CASE WHEN k % 7 = 0 THEN 'decline' ELSE 'approve' END AS decision"
+_FRAUD = "cast(value >= 150 OR k % 25 = 0 AS int) AS fraud_label"
 
 
-def _flag(cond: Column) -> Column:
-    return cond.cast("int")
+def _token(key: str) -> str:
+    return f"concat('tok_', substring(sha2(concat('pan|', {key}, '|42'), 256), 1, 16)) AS pan_token"
 
 
 def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Account master from ``customer`` and the small, fixed ``nation`` list."""
-    customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
-    nation = spark.read.parquet(f"{sf_dir}/nation.parquet").select("n_nationkey", "n_regionkey")
+    customer = spark.read.schema(CUSTOMER).parquet(f"{sf_dir}/customer.parquet")
+    nation = spark.read.schema(NATION).parquet(f"{sf_dir}/nation.parquet")
     return customer.join(
         nation, F.col("c_nationkey") == F.col("n_nationkey"), "left"
-    ).select(
-        F.col("c_custkey").alias("account_id"),
-        F.expr("date_add(DATE'2018-01-01', cast(c_custkey % 2500 as int))").alias("open_date"),
-        F.col("c_acctbal").alias("credit_limit"),
-        F.col("c_mktsegment").alias("segment"),
-        F.col("n_regionkey").alias("home_geo"),
-        F.concat(F.lit("user"), F.col("c_custkey"), F.lit("@example.invalid")).alias("email"),
-        pan_token(F.col("c_custkey")).alias("pan_token"),
+    ).selectExpr(
+        "c_custkey AS account_id",
+        "date_add(DATE'2018-01-01', cast(c_custkey % 2500 AS int)) AS open_date",
+        "c_acctbal AS credit_limit",
+        "c_mktsegment AS segment",
+        "n_regionkey AS home_geo",
+        "concat('user', c_custkey, '@example.invalid') AS email",
+        _token("c_custkey"),
     )
 
 
-def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event table, its schema given so that building a plan reads no file."""
+    return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
-def auth_from(events: DataFrame) -> DataFrame:
+def auth_from(rows: DataFrame) -> DataFrame:
     """Login columns that follow from the event alone; batch or stream."""
-    k = F.col("_k")
     return (
-        events.where("event_type <> 'purchase'")
-        .withColumn("_k", _k())
-        .select(
+        rows.where("event_type <> 'purchase'")
+        .selectExpr("*", _K)
+        .selectExpr(
             "event_id",
-            F.col("user_id").alias("account_id"),
-            F.col("ts").cast("timestamp").alias("event_ts"),
-            F.concat(F.lit("dev_"), k).alias("device_id"),
-            _flag(k < 40).alias("device_is_new"),
-            F.when(k % 10 != 9, k % 5).alias("ip_geo"),
-            F.when(F.col("event_type") == "error", "failure").otherwise("success").alias(
-                "auth_result"
-            ),
-            F.when(F.col("event_type") == "error", k % 7).otherwise(k % 2).alias(
-                "failed_attempts_1h"
-            ),
-            (k % 2).alias("mfa_used"),
+            "user_id AS account_id",
+            "cast(ts AS timestamp) AS event_ts",
+            "concat('dev_', k) AS device_id",
+            "cast(k < 40 AS int) AS device_is_new",
+            "CASE WHEN k % 10 <> 9 THEN k % 5 END AS ip_geo",
+            "CASE WHEN event_type = 'error' THEN 'failure' ELSE 'success' END AS auth_result",
+            "CASE WHEN event_type = 'error' THEN k % 7 ELSE k % 2 END AS failed_attempts_1h",
+            "k % 2 AS mfa_used",
         )
     )
 
@@ -79,87 +86,66 @@ def label_logins(auth: DataFrame, accts: DataFrame) -> DataFrame:
     return ato_label(geo_is_new(auth.join(home, "account_id", "left"))).drop("home_geo")
 
 
-def txn_from(events: DataFrame) -> DataFrame:
+def txn_from(rows: DataFrame) -> DataFrame:
     """Card transactions; batch or stream."""
-    k = F.col("_k")
     return (
-        events.where("event_type = 'purchase' and value > 0")
-        .withColumn("_k", _k())
-        .select(
-            F.col("event_id").alias("txn_id"),
-            F.col("user_id").alias("account_id"),
-            F.col("ts").cast("timestamp").alias("txn_ts"),
-            F.col("value").alias("amount"),
-            F.element_at(F.array(*[F.lit(m) for m in MCC_CODES]), k % 8 + 1).alias("mcc"),
-            F.element_at(F.array(F.lit("US"), F.lit("GB"), F.lit("CA")), k % 3 + 1).alias(
-                "merchant_country"
-            ),
-            F.when(k % 3 == 2, "card-present").otherwise("ecom").alias("channel"),
-            pan_token(F.col("user_id")).alias("pan_token"),
-            F.when(k % 7 == 0, "decline").otherwise("approve").alias("decision"),
-            _flag((F.col("value") >= 150) | (k % 25 == 0)).alias("fraud_label"),
+        rows.where("event_type = 'purchase' AND value > 0")
+        .selectExpr("*", _K)
+        .selectExpr(
+            "event_id AS txn_id", "user_id AS account_id", "cast(ts AS timestamp) AS txn_ts",
+            "value AS amount", _MCC, _COUNTRY, _CHANNEL, _token("user_id"), _DECISION, _FRAUD,
         )
     )
 
 
 def raw_txn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All purchases as landing text, with the faults real landing files have."""
-    k = F.col("_k")
+    return raw_txn_from(events(spark, sf_dir))
+
+
+def raw_txn_from(rows: DataFrame) -> DataFrame:
+    """The same from a given event frame; batch or stream."""
     return (
-        _events(spark, sf_dir).where("event_type = 'purchase'")
-        .withColumn("_k", _k())
-        .select(
-            F.when(k % 29 != 3, F.col("event_id").cast("string")).alias("txn_id"),
-            F.when(k % 31 != 5, F.col("user_id").cast("string")).alias("account_id"),
-            F.when(k == 11, "yesterday").otherwise(F.col("ts").cast("string")).alias("ts"),
-            F.when(k % 23 == 7, "n/a").otherwise(F.col("value").cast("string")).alias("amount"),
-            F.element_at(F.array(*[F.lit(m) for m in MCC_CODES]), k % 8 + 1).alias("mcc"),
-            F.element_at(F.array(F.lit("US"), F.lit("GB"), F.lit("CA")), k % 3 + 1).alias(
-                "merchant_country"
-            ),
-            F.when(k % 3 == 2, "card-present").otherwise("ecom").alias("channel"),
-            pan_token(F.col("user_id")).alias("pan_token"),
-            F.when(k % 7 == 0, "decline").otherwise("approve").alias("decision"),
-            _flag((F.col("value") >= 150) | (k % 25 == 0)).cast("string").alias("fraud_label"),
+        rows.where("event_type = 'purchase'")
+        .selectExpr("*", _K)
+        .selectExpr(
+            "CASE WHEN k % 29 <> 3 THEN cast(event_id AS string) END AS txn_id",
+            "CASE WHEN k % 31 <> 5 THEN cast(user_id AS string) END AS account_id",
+            "CASE WHEN k = 11 THEN 'yesterday' ELSE cast(ts AS string) END AS ts",
+            "CASE WHEN k % 23 = 7 THEN 'n/a' ELSE cast(value AS string) END AS amount",
+            _MCC, _COUNTRY, _CHANNEL, _token("user_id"), _DECISION,
+            "cast(cast(value >= 150 OR k % 25 = 0 AS int) AS string) AS fraud_label",
         )
     )
 
 
 def raw_auth(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All logins as landing text, some without account or with an unreadable time or count."""
-    k = F.col("_k")
-    typed = auth_from(_events(spark, sf_dir)).withColumn(
-        "_k", F.substring("device_id", 5, 9).cast("int")
-    )
-    return typed.select(
-        F.col("event_id").cast("string").alias("event_id"),
-        F.when(k % 31 != 5, F.col("account_id").cast("string")).alias("account_id"),
-        F.when(k == 13, "").otherwise(
-            F.col("event_ts").cast("timestamp_ntz").cast("string")
-        ).alias("ts"),
+    typed = auth_from(events(spark, sf_dir))
+    return typed.selectExpr("*", "cast(substring(device_id, 5) AS int) AS k").selectExpr(
+        "cast(event_id AS string) AS event_id",
+        "CASE WHEN k % 31 <> 5 THEN cast(account_id AS string) END AS account_id",
+        "CASE WHEN k = 13 THEN '' ELSE cast(cast(event_ts AS timestamp_ntz) AS string) END AS ts",
         "device_id",
-        F.col("device_is_new").cast("string").alias("device_is_new"),
-        F.col("ip_geo").cast("string").alias("ip_geo"),
-        F.lit("0").alias("geo_is_new"),
+        "cast(device_is_new AS string) AS device_is_new",
+        "cast(ip_geo AS string) AS ip_geo",
+        "'0' AS geo_is_new",
         "auth_result",
-        F.when(k == 17, "many").otherwise(F.col("failed_attempts_1h").cast("string")).alias(
-            "failed_attempts_1h"
-        ),
-        F.col("mfa_used").cast("string").alias("mfa_used"),
-        F.lit("0").alias("ato_label"),
+        "CASE WHEN k = 17 THEN 'many' ELSE cast(failed_attempts_1h AS string) END"
+        " AS failed_attempts_1h",
+        "cast(mfa_used AS string) AS mfa_used",
+        "'0' AS ato_label",
     )
 
 
 def raw_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The account master as landing text, some rows without key or with an unreadable limit."""
-    key = F.col("account_id")
-    return accounts(spark, sf_dir).select(
-        F.when(key % 37 != 1, key.cast("string")).alias("account_id"),
-        F.col("open_date").cast("string").alias("open_date"),
-        F.when(key % 41 == 2, "unlimited").otherwise(F.col("credit_limit").cast("string")).alias(
-            "credit_limit"
-        ),
-        "segment", F.col("home_geo").cast("string").alias("home_geo"), "email", "pan_token",
+    return accounts(spark, sf_dir).selectExpr(
+        "CASE WHEN account_id % 37 <> 1 THEN cast(account_id AS string) END AS account_id",
+        "cast(open_date AS string) AS open_date",
+        "CASE WHEN account_id % 41 = 2 THEN 'unlimited' ELSE cast(credit_limit AS string) END"
+        " AS credit_limit",
+        "segment", "cast(home_geo AS string) AS home_geo", "email", "pan_token",
     )
 
 
@@ -176,7 +162,7 @@ class Feeds:
 def load_feeds(spark: SparkSession, sf_dir: str) -> Feeds:
     """All three feeds over the whole tables."""
     accts = accounts(spark, sf_dir)
-    events = _events(spark, sf_dir)
-    timed = events.select(F.col("user_id").alias("account_id"), F.col("ts").cast("timestamp"))
+    rows = events(spark, sf_dir)
+    timed = rows.selectExpr("user_id AS account_id", "cast(ts AS timestamp) AS ts")
     split = split_hot_keys([(timed, "ts")], "account_id")
-    return Feeds(label_logins(auth_from(events), accts), txn_from(events), accts, split)
+    return Feeds(label_logins(auth_from(rows), accts), txn_from(rows), accts, split)
