@@ -36,15 +36,12 @@ def _match(
         F.col(tie).alias("_tie"), found.alias("_found"),
     )
     probes = left.withColumns({"_us": clock(left_ts), "_side": F.lit(1)})
-    rows = split.slice(
-        probes.unionByName(events, allowMissingColumns=True), "_us", mirrored=forward
-    )
+    events = split.slice(events, "_us", mirrored=forward)
+    probes = split.slice(probes, "_us", mirrored=forward)
     pick = F.min_by if forward else F.max_by
-    nearest = pick(
-        "_found", F.when(F.col("_found").isNotNull(), F.struct("_found._at", "_tie"))
-    )
+    nearest = pick("_found", F.struct("_found._at", "_tie"))
     seeds = split.seeds(
-        rows, {"_found": nearest}, lambda c: F.last(c, ignorenulls=True)
+        events, {"_found": nearest}, lambda c: F.last(c, ignorenulls=True), mirrored=forward
     ).withColumn("_side", F.lit(0))
     tie_order = F.col("_tie").desc() if forward else F.col("_tie").asc()
     seen = (
@@ -53,10 +50,12 @@ def _match(
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
-        rows.unionByName(seeds, allowMissingColumns=True)
+        probes.drop("_cut")
+        .unionByName(events.drop("_cut"), allowMissingColumns=True)
+        .unionByName(seeds, allowMissingColumns=True)
         .withColumn("_match", F.last("_found", ignorenulls=True).over(seen))
         .where(F.col("_side") == 1)
-        .drop("_found", "_side", "_tie", "_cut")
+        .drop("_found", "_side", "_tie")
     )
 
 
@@ -93,16 +92,18 @@ def asof_join(
 
 
 def latest_join(
-    left: DataFrame, right: DataFrame, by: str, right_ts: str, tie: str, right_cols: Sequence[str]
+    left: DataFrame, right: DataFrame, by: str, left_ts: str, right_ts: str, tie: str,
+    right_cols: Sequence[str], split: KeySplit | None = None,
 ) -> DataFrame:
     """Left outer join to each key's single latest right row, whatever its time.
 
     Answers "what is the account's login state now"; it looks into the future of
     older left rows, so it must not feed a model.
     """
+    split = split or split_hot_keys([(left, left_ts)], by)
     dated = right.where(F.col(right_ts).isNotNull() & F.col(by).isNotNull())
-    newest = dedup_latest(dated.select(by, tie, *right_cols), [by], [right_ts, tie])
-    return left.join(newest.drop(*({tie} - set(right_cols))), by, "left")
+    newest = dedup_latest(dated.select(by, right_ts, tie, *right_cols), [by], [right_ts, tie])
+    return split.join_dim(left, left_ts, newest.select(by, *right_cols))
 
 
 def previous_row(

@@ -65,7 +65,7 @@ def _sweep(
     if events is not None:
         rows = rows.unionByName(events.select(by, "_us", *values), allowMissingColumns=True)
     rows = split.slice(rows, "_us", mirrored)
-    seeds = split.seeds(rows, {v: F.sum(v) for v in values}, F.sum)
+    seeds = split.seeds(rows, {v: F.sum(v) for v in values}, F.sum, mirrored)
     ordered = Window.partitionBy(by, SLICE).orderBy("_us")
     sums = {}
     for spec, v in zip(specs, values):

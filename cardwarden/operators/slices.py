@@ -8,6 +8,8 @@ busiest keys are cut into equal spans of time, the window runs over
 extra *seed* row. Cutting changes the layout only, never the result, so the
 limits below are tuning values and not correctness limits:
 
+* a key is cut into at most ``MAX_SLICES`` spans, so the pass that hands values
+  from slice to slice sees at most that many rows per key.
 * at most ``MAX_HOT_KEYS`` keys are cut, the biggest first. The table of cut
   keys is therefore small whatever the data size, and is safe to broadcast; a
   key that misses the table holds at most 1/MAX_HOT_KEYS of all rows.
@@ -23,8 +25,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HOT_ROWS = 4_000_000
-SLICE_ROWS = 250_000
+HOT_ROWS = 200_000
+SLICE_ROWS = 50_000
+MAX_SLICES = 100_000
 MAX_HOT_KEYS = 10_000
 _NULL_KEY_SPREAD = 1024
 FIRST = -(2**62)  # sorts before every timestamp, with room for offsets
@@ -68,29 +71,45 @@ class KeySplit:
             .drop("_cut")
         )
 
+    def join_dim(self, df: DataFrame, ts: str, dim: DataFrame) -> DataFrame:
+        """Left join to a one-row-per-key table on (key, slice), so that a hot key stays spread."""
+        sliced = self.slice(df.withColumn("_us", F.unix_micros(ts)), "_us").drop("_us", "_cut")
+        return sliced.join(self.spread(dim), [self.by, SLICE], "left").drop(SLICE)
+
     def seeds(
         self,
         sliced: DataFrame,
         summaries: dict[str, Column],
         carry: Callable[[str], Column],
+        mirrored: bool = False,
     ) -> DataFrame:
         """What the earlier slices of a cut key hand over to each of its slices.
 
         ``summaries`` are aggregates over one slice, combined before the shuffle;
-        ``carry`` runs them over the earlier slices. Per key there are as many
-        rows as slices, never as many as input rows.
+        ``carry`` runs them over the earlier slices. Every slice gets its row,
+        whether or not ``sliced`` has rows there, so frames that only receive
+        need not be read. Per key there are as many rows as slices, never as
+        many as input rows.
         """
+        sign = "-" if mirrored else ""
+        marks = self.hot.selectExpr(
+            self.by, f"explode(transform(sequence(0L, _cut[2] - 1), i -> {sign}i)) AS {SLICE}",
+            "true AS _mark",
+        )
         earlier = (
             Window.partitionBy(self.by)
             .orderBy(SLICE)
-            .rowsBetween(Window.unboundedPreceding, -1)
+            .rangeBetween(Window.unboundedPreceding, -1)
         )
         names = list(summaries)
         return (
             sliced.where(F.col("_cut").isNotNull())
             .groupBy(self.by, SLICE)
             .agg(*[col.alias(name) for name, col in summaries.items()])
-            .select(self.by, SLICE, *[carry(n).over(earlier).alias(n) for n in names])
+            .unionByName(marks, allowMissingColumns=True)
+            .select(self.by, SLICE, "_mark", *[carry(n).over(earlier).alias(n) for n in names])
+            .where("_mark")
+            .drop("_mark")
             .dropna("all", subset=names)
             .withColumn("_us", F.lit(FIRST))
         )
@@ -120,7 +139,7 @@ def split_hot_keys(
         .where(f"_n > {hot_rows}")
         .orderBy(F.desc("_n"), by)
         .limit(max_keys)
-        .selectExpr(by, "_lo", "_hi", f"ceil(_n / {slice_rows}) AS _spans")
+        .selectExpr(by, "_lo", "_hi", f"least(ceil(_n / {slice_rows}), {MAX_SLICES}) AS _spans")
         .selectExpr(by, "array(_lo, ceil((_hi - _lo + 1) / _spans), _spans) AS _cut")
     )
     return KeySplit(by, hot)

@@ -33,16 +33,9 @@ def dedup_txn(txn: DataFrame) -> DataFrame:
 
 
 def enrich_accounts(df: DataFrame, accounts: DataFrame, split: KeySplit | None = None) -> DataFrame:
-    """Left join to the account master.
-
-    Given the split under which ``df`` was sliced, the join runs on (account,
-    slice): the big side stays where the as-of step put it, and a hot account
-    stays spread.
-    """
-    dim = accounts.select("account_id", *ACCOUNT_COLUMNS)
-    if split is None:
-        return df.join(dim, "account_id", "left")
-    return df.join(split.spread(dim), ["account_id", SLICE], "left").drop(SLICE)
+    """Left join of transactions to the account master; hot accounts are spread over tasks."""
+    split = split or split_hot_keys([(df, "txn_ts")], "account_id")
+    return split.join_dim(df, "txn_ts", accounts.select("account_id", *ACCOUNT_COLUMNS))
 
 
 def _features(df: DataFrame) -> DataFrame:
@@ -74,7 +67,9 @@ def fuse(
         ["last_auth_ts", "last_event_id", *LOGIN_COLUMNS], "last_event_id",
         split=split, keep_slice=True,
     )
-    return _features(enrich_accounts(matched, accounts, split))
+    # The rows lie by (account, slice) already, so the master comes to them.
+    master = split.spread(accounts.select("account_id", *ACCOUNT_COLUMNS))
+    return _features(matched.join(master, ["account_id", SLICE], "left").drop(SLICE))
 
 
 def gold(
@@ -84,15 +79,20 @@ def gold(
     return fuse(txn, auth, accounts, split).select(*GOLD_COLUMNS)
 
 
-def fuse_latest(txn: DataFrame, auth: DataFrame, accounts: DataFrame) -> DataFrame:
+def fuse_latest(
+    txn: DataFrame, auth: DataFrame, accounts: DataFrame, split: KeySplit | None = None
+) -> DataFrame:
     """Fusion with each account's current login state instead of the as-of one."""
+    split = split or split_hot_keys([(txn, "txn_ts")], "account_id")
     logins = auth.select(
-        "account_id", "event_id", F.col("event_ts").alias("last_auth_ts"), *LOGIN_COLUMNS
+        "account_id", "event_id", "event_ts", F.col("event_ts").alias("last_auth_ts"),
+        *LOGIN_COLUMNS,
     )
     joined = latest_join(
-        txn, logins, "account_id", "last_auth_ts", "event_id", ["last_auth_ts", *LOGIN_COLUMNS]
+        txn, logins, "account_id", "txn_ts", "event_ts", "event_id",
+        ["last_auth_ts", *LOGIN_COLUMNS], split,
     )
-    return _features(enrich_accounts(joined, accounts))
+    return _features(enrich_accounts(joined, accounts, split))
 
 
 def since_new_device(

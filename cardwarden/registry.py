@@ -214,7 +214,7 @@ def _(f):
 
 @query("j2_latest_join")
 def _(f):
-    return gold_ops.fuse_latest(f.txn, f.auth, f.accounts).select(
+    return gold_ops.fuse_latest(f.txn, f.auth, f.accounts, f.split).select(
         "txn_id", "last_auth_ts", "minutes_since_new_device_login", "geo_mismatch_flag",
         "reason_codes",
     )
@@ -222,7 +222,7 @@ def _(f):
 
 @query("j3_enrich_accounts")
 def _(f):
-    return gold_ops.enrich_accounts(f.txn, f.accounts).select(
+    return gold_ops.enrich_accounts(f.txn, f.accounts, f.split).select(
         "txn_id", "home_geo", "segment", "credit_limit"
     )
 

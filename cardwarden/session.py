@@ -29,6 +29,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
         SparkSession.builder.master(f"local[{cores}]")
         .appName("cardwarden")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")

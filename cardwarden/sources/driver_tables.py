@@ -80,10 +80,17 @@ def auth_from(rows: DataFrame) -> DataFrame:
     )
 
 
-def label_logins(auth: DataFrame, accts: DataFrame) -> DataFrame:
-    """Adds the columns that need the home place: ``geo_is_new`` and ``ato_label``."""
+def label_logins(auth: DataFrame, accts: DataFrame, split: KeySplit | None = None) -> DataFrame:
+    """Adds the columns that need the home place: ``geo_is_new`` and ``ato_label``.
+
+    A stream has no counts to split by, so it joins plainly.
+    """
     home = accts.select("account_id", "home_geo")
-    return ato_label(geo_is_new(auth.join(home, "account_id", "left"))).drop("home_geo")
+    if split is None:
+        placed = auth.join(home, "account_id", "left")
+    else:
+        placed = split.join_dim(auth, "event_ts", home)
+    return ato_label(geo_is_new(placed)).drop("home_geo")
 
 
 def txn_from(rows: DataFrame) -> DataFrame:
@@ -165,4 +172,4 @@ def load_feeds(spark: SparkSession, sf_dir: str) -> Feeds:
     rows = events(spark, sf_dir)
     timed = rows.selectExpr("user_id AS account_id", "cast(ts AS timestamp) AS ts")
     split = split_hot_keys([(timed, "ts")], "account_id")
-    return Feeds(label_logins(auth_from(rows), accts), txn_from(rows), accts, split)
+    return Feeds(label_logins(auth_from(rows), accts, split), txn_from(rows), accts, split)
