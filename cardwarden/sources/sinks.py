@@ -13,15 +13,16 @@ def write_gold(
 ) -> None:
     """Gold as Parquet, by day of the transaction unless told otherwise, and as CSV if wanted.
 
-    Rows are spread over (day, hash of the transaction), so a busy day or account
-    is written by many tasks while each task writes few days.
+    The rebalance hint gathers the rows of a day, and adaptive execution then cuts
+    a big day into tasks of the advisory size and joins small days, so files are
+    of even size whatever the days look like.
     """
     out = df
     if partition_by:
         out = df.withColumn(partition_by, F.to_date("txn_ts"))
-        out.repartition(partition_by, F.pmod(F.xxhash64("txn_id"), F.lit(16))).write.mode(
-            "overwrite"
-        ).partitionBy(partition_by).parquet(path)
+        out.hint("rebalance", partition_by).write.mode("overwrite").partitionBy(
+            partition_by
+        ).parquet(path)
     else:
         out.write.mode("overwrite").parquet(path)
     if csv_path:

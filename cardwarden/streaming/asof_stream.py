@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+MAX_HOT_ACCOUNTS = 10_000
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -109,7 +110,8 @@ def fuse_stream(
     Logins later than the watermark delay are too late to count. ``hot`` is a
     short static table (account_id, shares) of accounts too busy for one task:
     their transactions are dealt out over ``shares`` keys and their logins copied
-    to each.
+    to each. The biggest ``MAX_HOT_ACCOUNTS`` entries count, the rest run on one
+    key each. The table belongs to the checkpoint: keep it as it is over restarts.
     """
     txns = txn.where("account_id IS NOT NULL AND txn_ts IS NOT NULL").withWatermark("txn_ts", delay)
     logins = auth.where("account_id IS NOT NULL AND event_ts IS NOT NULL").withWatermark(
@@ -117,6 +119,7 @@ def fuse_stream(
     )
     share, shares = F.lit(0), F.array(F.lit(0))
     if hot is not None:
+        hot = hot.orderBy(F.desc("shares"), "account_id").limit(MAX_HOT_ACCOUNTS)
         txns = txns.join(F.broadcast(hot), "account_id", "left")
         logins = logins.join(F.broadcast(hot), "account_id", "left")
         count = F.coalesce(F.col("shares"), F.lit(1))

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.gold import fuse
@@ -13,14 +14,21 @@ from ..schemas import GOLD_COLUMNS
 from .run import start_batches, write_batch
 
 
+# Accounts of one micro-batch that may be broadcast: 16 bytes each, so 16 MB at most.
+MAX_BROADCAST_ACCOUNTS = 1_000_000
+
+
 def fuse_microbatch(batch: DataFrame, auth_snapshot: DataFrame, accounts: DataFrame) -> DataFrame:
-    """Gold for one micro-batch. Only logins and master rows of its accounts are shuffled."""
+    """Gold for one micro-batch.
+
+    Counts the accounts of the batch first. If they are few, only their logins
+    and master rows go on; otherwise the whole snapshots do.
+    """
     ours = batch.select("account_id").distinct()
-    return fuse(
-        batch,
-        auth_snapshot.join(ours, "account_id", "left_semi"),
-        accounts.join(ours, "account_id", "left_semi"),
-    ).select(*GOLD_COLUMNS)
+    if ours.limit(MAX_BROADCAST_ACCOUNTS + 1).count() <= MAX_BROADCAST_ACCOUNTS:
+        auth_snapshot = auth_snapshot.join(F.broadcast(ours), "account_id", "left_semi")
+        accounts = accounts.join(F.broadcast(ours), "account_id", "left_semi")
+    return fuse(batch, auth_snapshot, accounts).select(*GOLD_COLUMNS)
 
 
 def start_enrich(
