@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import sys
+from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,50 +22,59 @@ def use_rocksdb(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
+# The processor travels to the executors with the job, so they need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 class LoginMatcher(StatefulProcessor):
     """Holds transactions until the watermark passes them, then matches the latest login.
 
     State per key: the waiting transactions, the newest login the watermark has
     passed, and the logins after it. Both lists are as long as the watermark
-    delay is, not as the history.
+    delay is, not as the history. Rows are tuples that begin with their time in
+    microseconds, logins go on with their id.
     """
 
-    def __init__(self, txn_schema: T.StructType, login_schema: T.StructType):
+    def __init__(self, txn_schema: T.StructType, login_schema: T.StructType, out_names: list[str]):
         self.txn_schema = txn_schema
         self.login_schema = login_schema
+        self.out_names = out_names
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.waiting = handle.getListState("waiting", self.txn_schema)
         self.logins = handle.getListState("logins", self.login_schema)
 
-    def _store(self, state, frame: pd.DataFrame, schema: T.StructType, append: bool) -> None:
-        kinds = {f.name: f.dataType for f in schema.fields}
-        rows = [
-            tuple(
-                None if pd.isna(v) else int(v)
-                if isinstance(kinds[c], (T.LongType, T.IntegerType)) else v
-                for c, v in zip(schema.names, row)
-            )
-            for row in frame[schema.names].itertuples(index=False)
-        ]
-        if not rows:
-            if not append:
-                state.clear()
-        elif append:
-            state.appendList(rows)
-        else:
+    @staticmethod
+    def _rows(frame: pd.DataFrame, schema: T.StructType) -> list[tuple]:
+        """Tuples in schema order; numbers that missing values turned into floats become whole again."""
+        columns = []
+        for field in schema.fields:
+            col = frame[field.name].astype(object).where(frame[field.name].notna(), None)
+            if isinstance(field.dataType, T.IntegralType):
+                col = col.map(lambda v: None if v is None else int(v))
+            columns.append(col.tolist())
+        return list(zip(*columns))
+
+    @staticmethod
+    def _replace(state, rows: list[tuple]) -> None:
+        if rows:
             state.put(rows)
+        else:
+            state.clear()
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802
         soonest = None
         for batch in rows:
-            txns = batch[batch["is_txn"]]
-            self._store(self.waiting, txns, self.txn_schema, append=True)
-            self._store(self.logins, batch[~batch["is_txn"]], self.login_schema, append=True)
-            if len(txns):
-                first = int(txns["txn_us"].min())
+            is_txn = batch["is_txn"].astype(bool)
+            txns = self._rows(batch[is_txn], self.txn_schema)
+            logins = self._rows(batch[~is_txn], self.login_schema)
+            if txns:
+                self.waiting.appendList(txns)
+                first = min(t[0] for t in txns)
                 soonest = first if soonest is None else min(soonest, first)
+            if logins:
+                self.logins.appendList(logins)
         if soonest is not None:
             # A time that has passed already fires with the next watermark.
             self.handle.registerTimer(
@@ -72,29 +84,23 @@ class LoginMatcher(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        txns = pd.DataFrame(list(self.waiting.get()), columns=self.txn_schema.names)
-        logins = pd.DataFrame(
-            list(self.logins.get()), columns=self.login_schema.names
-        ).sort_values(["login_us", "last_event_id"])
-        ready = txns["txn_us"] <= passed
-        later = txns[~ready]
-        self._store(self.waiting, later, self.txn_schema, append=False)
-        old = logins[logins["login_us"] <= passed]
-        self._store(
-            self.logins, pd.concat([old.tail(1), logins[logins["login_us"] > passed]]),
-            self.login_schema, append=False,
-        )
-        if len(later):
-            self.handle.registerTimer(-(-int(later["txn_us"].min()) // 1000))
-        if ready.any():
-            yield self._match(txns[ready], logins)
-
-    def _match(self, txns: pd.DataFrame, logins: pd.DataFrame) -> pd.DataFrame:
-        left = txns.sort_values("txn_us").reset_index(drop=True)
-        at = logins["login_us"].searchsorted(left["txn_us"], side="right") - 1
-        found = logins.reset_index(drop=True).reindex(pd.Series(at).where(at >= 0, -1))
-        found.index = left.index
-        return pd.concat([left, found], axis=1)
+        txns = [tuple(t) for t in self.waiting.get()]
+        logins = sorted((tuple(e) for e in self.logins.get()), key=lambda e: (e[0], e[1]))
+        times = [e[0] for e in logins]
+        later = [t for t in txns if t[0] > passed]
+        self._replace(self.waiting, later)
+        # Keep the newest login the watermark has passed, and all after it.
+        self._replace(self.logins, logins[max(bisect_right(times, passed) - 1, 0):])
+        if later:
+            self.handle.registerTimer(-(-min(t[0] for t in later) // 1000))
+        nothing = (None,) * len(self.login_schema.fields)
+        out = []
+        for t in txns:
+            if t[0] <= passed:
+                at = bisect_right(times, t[0])
+                out.append((key[0], *t, *(logins[at - 1] if at else nothing)))
+        if out:
+            yield pd.DataFrame(out, columns=self.out_names, dtype=object)
 
     def close(self) -> None:
         pass
@@ -142,9 +148,10 @@ def fuse_stream(
         T.StructField(c, kinds[c].dataType) for c in ("login_us", "last_event_id", *login_cols)
     ])
     keys = [T.StructField("account_id", kinds["account_id"].dataType)]
+    out = T.StructType(keys + txn_schema.fields + login_schema.fields)
     matched = both.groupBy("account_id", "key_share").transformWithStateInPandas(
-        statefulProcessor=_Keyed(txn_schema, login_schema),
-        outputStructType=T.StructType(keys + txn_schema.fields + login_schema.fields),
+        statefulProcessor=LoginMatcher(txn_schema, login_schema, out.names),
+        outputStructType=out,
         outputMode="Append",
         timeMode="EventTime",
     )
@@ -156,11 +163,3 @@ def fuse_stream(
         F.timestamp_micros("login_us").alias("last_auth_ts"), "last_event_id", *login_cols,
     )
 
-
-class _Keyed(LoginMatcher):
-    """Adds the account to what the matcher emits."""
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):  # noqa: N802
-        for out in super().handleExpiredTimer(key, timerValues, expiredTimerInfo):
-            out.insert(0, "account_id", key[0])
-            yield out
