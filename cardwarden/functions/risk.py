@@ -36,14 +36,18 @@ def cents(amount: str | Column) -> Column:
     return F.round(col * 100).cast("bigint")
 
 
-def minutes_between(later: str | Column, earlier: str | Column) -> Column:
-    """Minutes from ``earlier`` to ``later`` with fractions of a second kept, 2 decimals."""
-    return F.round((F.unix_micros(later) - F.unix_micros(earlier)) / F.lit(60e6), 2)
+def minutes_between(later: str, earlier: str) -> Column:
+    """Minutes from ``earlier`` to ``later``, fractions of a second kept, to 2 decimals half up.
+
+    Worked in whole microseconds, so the outcome is exact and the same everywhere.
+    """
+    gap = f"(unix_micros({later}) - unix_micros({earlier}))"
+    return F.expr(f"sign({gap}) * ((abs({gap}) + 300000) div 600000) / 1e2")
 
 
 def minutes_since(df: DataFrame, name: str = "minutes_since_new_device_login") -> DataFrame:
     """Minutes since the matched login, of whatever kind it was; null without a login."""
-    return df.withColumn(name, minutes_between(F.col("txn_ts"), F.col("last_auth_ts")))
+    return df.withColumn(name, minutes_between("txn_ts", "last_auth_ts"))
 
 
 def geo_mismatch(df: DataFrame) -> DataFrame:

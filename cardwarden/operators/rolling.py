@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.risk import cents
+from ..functions.risk import cents, minutes_between
 from .asof import previous_row
 from .slices import SLICE, KeySplit, split_hot_keys
 
@@ -125,8 +125,15 @@ def _vs_avg(days: int) -> list[Rolling]:
 
 
 def _add_vs_avg(df: DataFrame) -> DataFrame:
-    ratio = F.try_divide(cents("amount") * F.col("_n"), F.col("_c"))
-    return df.withColumn("amount_vs_30d_avg", F.round(ratio, 4)).drop("_n", "_c")
+    """amount / (sum / count) to 4 decimals, half up, in whole numbers: neither the size of
+    the products nor the last bit of a quotient can spoil it."""
+    ratio = F.expr("""(cast(_own AS decimal(19,0)) * cast(_n AS decimal(14,0)) * 20000 + _c)
+        div (2 * nullif(_c, 0)) / 1e4""")
+    return (
+        df.withColumn("_own", cents("amount"))
+        .withColumn("amount_vs_30d_avg", ratio)
+        .drop("_n", "_c", "_own")
+    )
 
 
 def amount_vs_avg(df: DataFrame, days: int = 30, split: KeySplit | None = None) -> DataFrame:
@@ -175,6 +182,6 @@ def geo_impossible(
     prev = {"event_id": "prev_event_id", "ip_geo": "prev_geo", "event_ts": "prev_ts"}
     moved = previous_row(dated, "account_id", "event_ts", "event_id", prev, split)
     gap = F.unix_micros("event_ts") - F.unix_micros("prev_ts")
-    return moved.withColumn("gap_minutes", F.round(gap / F.lit(60e6), 2)).where(
+    return moved.withColumn("gap_minutes", minutes_between("event_ts", "prev_ts")).where(
         (F.col("ip_geo") != F.col("prev_geo")) & (gap < max_gap_seconds * 1_000_000)
     )

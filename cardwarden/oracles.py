@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 _ACCOUNT = 7
 
 _BASE = """
@@ -45,7 +47,7 @@ _FUSED = _BASE + """,
 matched AS (
   SELECT t.*, a.event_ts AS last_auth_ts, a.event_id AS last_event_id, a.ip_geo,
     c.home_geo, c.segment, c.credit_limit,
-    round((epoch_us(t.txn_ts) - epoch_us(a.event_ts)) / 60e6, 2) AS minutes_since_new_device_login,
+    @MINUTES(t.txn_ts, a.event_ts) AS minutes_since_new_device_login,
     CAST(coalesce(a.ip_geo <> c.home_geo, false) AS INTEGER) AS geo_mismatch_flag,
     coalesce(a.failed_attempts_1h, 0) AS failed_logins_1h,
     coalesce(a.ato_label, 0) AS recent_ato_label,
@@ -196,8 +198,8 @@ def _range(span: str, value: str, source: str, ts: str) -> str:
 _VELOCITY = _range("1 HOUR", "count(*)", "txn", "txn_ts")
 _HISTORY = """OVER (PARTITION BY account_id ORDER BY txn_ts RANGE BETWEEN
   INTERVAL 30 DAY PRECEDING AND INTERVAL 1 MICROSECOND PRECEDING)"""
-_VS_AVG = f"""round(CAST(c * count(*) {_HISTORY} AS DOUBLE)
-  / nullif(CAST(sum(c) {_HISTORY} AS BIGINT), 0), 4)"""
+_VS_AVG = f"""CAST((CAST(c AS HUGEINT) * count(*) {_HISTORY} * 20000 + sum(c) {_HISTORY})
+  // (2 * nullif(sum(c) {_HISTORY}, 0)) AS DOUBLE) / 1e4"""
 
 
 def _small(span: str) -> str:
@@ -366,7 +368,7 @@ _SQL: dict[str, tuple[str, str]] = {
     "j1_since_new_device": (
         _BASE,
         """SELECT t.txn_id, a.event_ts AS new_device_ts,
-             round((epoch_us(t.txn_ts) - epoch_us(a.event_ts)) / 60e6, 2)
+             @MINUTES(t.txn_ts, a.event_ts)
                AS minutes_since_last_new_device
            FROM txn t ASOF LEFT JOIN (SELECT * FROM auth WHERE device_is_new = 1) a
            ON t.account_id = a.account_id AND t.txn_ts >= a.event_ts""",
@@ -374,7 +376,7 @@ _SQL: dict[str, tuple[str, str]] = {
     "j1_asof_tolerance": (
         _BASE,
         """SELECT t.txn_id, CASE WHEN t.txn_ts - a.event_ts <= INTERVAL 2 HOUR THEN
-             round((epoch_us(t.txn_ts) - epoch_us(a.event_ts)) / 60e6, 2) END
+             @MINUTES(t.txn_ts, a.event_ts) END
                AS minutes_since_last_new_device
            FROM txn t ASOF LEFT JOIN (SELECT * FROM auth WHERE device_is_new = 1) a
            ON t.account_id = a.account_id AND t.txn_ts >= a.event_ts""",
@@ -384,7 +386,7 @@ _SQL: dict[str, tuple[str, str]] = {
         newest AS (SELECT * FROM auth QUALIFY row_number() OVER (
           PARTITION BY account_id ORDER BY event_ts DESC, event_id DESC) = 1),
         state AS (SELECT t.txn_id, n.event_ts AS last_auth_ts, n.device_is_new,
-            round((epoch_us(t.txn_ts) - epoch_us(n.event_ts)) / 60e6, 2) AS gap,
+            @MINUTES(t.txn_ts, n.event_ts) AS gap,
             CAST(coalesce(n.ip_geo <> c.home_geo, false) AS INTEGER) AS geo_mismatch_flag,
             n.failed_attempts_1h, n.ato_label
           FROM txn t LEFT JOIN newest n ON t.account_id = n.account_id
@@ -445,7 +447,7 @@ _SQL: dict[str, tuple[str, str]] = {
     "f11_geo_impossible": (
         _BASE,
         """SELECT event_id, account_id, prev_event_id, prev_geo, ip_geo,
-             round((epoch_us(event_ts) - epoch_us(prev_ts)) / 60e6, 2) AS gap_minutes FROM (
+             @MINUTES(event_ts, prev_ts) AS gap_minutes FROM (
              SELECT *, lag(event_id) OVER w AS prev_event_id, lag(ip_geo) OVER w AS prev_geo,
                lag(event_ts) OVER w AS prev_ts FROM auth
              WINDOW w AS (PARTITION BY account_id ORDER BY event_ts, event_id))
@@ -723,6 +725,16 @@ _SQL["st6_velocity_stream"] = (
 )
 
 
+def _spelled_out(sql: str) -> str:
+    """Writes out @MINUTES(later, earlier): minutes to 2 decimals, half up, in whole numbers."""
+
+    def minutes(match: re.Match) -> str:
+        gap = f"(epoch_us({match[1]}) - epoch_us({match[2]}))"
+        return f"(sign({gap}) * ((abs({gap}) + 300000) // 600000) / 1e2)"
+
+    return re.sub(r"@MINUTES\(([\w.]+), ([\w.]+)\)", minutes, sql)
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL text per registered query that SQL can express."""
-    return {name: f"WITH {ctes}\n{body}" for name, (ctes, body) in _SQL.items()}
+    return {name: _spelled_out(f"WITH {ctes}\n{body}") for name, (ctes, body) in _SQL.items()}

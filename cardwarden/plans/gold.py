@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.risk import (
-    add_reason_codes, geo_mismatch, minutes_since, null_safe_counts,
+    add_reason_codes, geo_mismatch, minutes_between, minutes_since, null_safe_counts,
 )
 from ..operators.asof import asof_join, latest_join
 from ..operators.dedup import dedup_latest
@@ -107,8 +107,9 @@ def since_new_device(
         txn, fresh, "account_id", "txn_ts", "event_ts", ["new_device_ts"], "event_id",
         tolerance_seconds, split,
     )
-    gap = F.unix_micros("txn_ts") - F.unix_micros("new_device_ts")
-    return out.withColumn("minutes_since_last_new_device", F.round(gap / F.lit(60e6), 2))
+    return out.withColumn(
+        "minutes_since_last_new_device", minutes_between("txn_ts", "new_device_ts")
+    )
 
 
 def join_cases(gold_df: DataFrame, cases: DataFrame) -> DataFrame:
