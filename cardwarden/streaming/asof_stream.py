@@ -8,12 +8,13 @@ from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 MAX_HOT_ACCOUNTS = 10_000
+_CARRIED = (T.StringType, T.NumericType, T.BooleanType)
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -35,10 +36,14 @@ class LoginMatcher(StatefulProcessor):
     microseconds, logins go on with their id.
     """
 
-    def __init__(self, txn_schema: T.StructType, login_schema: T.StructType, out_names: list[str]):
+    def __init__(
+        self, txn_schema: T.StructType, login_schema: T.StructType, out_names: list[str],
+        numeric_id: bool,
+    ):
         self.txn_schema = txn_schema
         self.login_schema = login_schema
         self.out_names = out_names
+        self.numeric_id = numeric_id
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -47,13 +52,18 @@ class LoginMatcher(StatefulProcessor):
 
     @staticmethod
     def _rows(frame: pd.DataFrame, schema: T.StructType) -> list[tuple]:
-        """Tuples in schema order; numbers that missing values turned into floats become whole again."""
+        """Tuples in schema order, None for what is missing.
+
+        A batch column of whole numbers with gaps arrives as floats, which the
+        state would store as nulls, so each value is made whole again.
+        """
         columns = []
         for field in schema.fields:
-            col = frame[field.name].astype(object).where(frame[field.name].notna(), None)
-            if isinstance(field.dataType, T.IntegralType):
-                col = col.map(lambda v: None if v is None else int(v))
-            columns.append(col.tolist())
+            col = frame[field.name]
+            make = int if isinstance(field.dataType, T.IntegralType) else lambda v: v
+            columns.append([
+                None if gone else make(v) for v, gone in zip(col.tolist(), col.isna().tolist())
+            ])
         return list(zip(*columns))
 
     @staticmethod
@@ -85,7 +95,8 @@ class LoginMatcher(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802
         passed = timerValues.getCurrentWatermarkInMs() * 1000
         txns = [tuple(t) for t in self.waiting.get()]
-        logins = sorted((tuple(e) for e in self.logins.get()), key=lambda e: (e[0], e[1]))
+        order = (lambda e: (e[0], int(e[1]))) if self.numeric_id else (lambda e: e[:2])
+        logins = sorted((tuple(e) for e in self.logins.get()), key=order)
         times = [e[0] for e in logins]
         later = [t for t in txns if t[0] > passed]
         self._replace(self.waiting, later)
@@ -132,34 +143,46 @@ def fuse_stream(
         share = F.pmod(F.xxhash64("txn_id"), count).cast("int")
         shares = F.sequence(F.lit(0), (count - 1).cast("int"))
     own = [c for c in txn.columns if c not in ("account_id", "txn_ts")]
+    kinds = {f.name: f.dataType for f in auth.schema.fields + txn.schema.fields}
+    for c in (*own, "event_id", *login_cols):
+        if not isinstance(kinds[c], _CARRIED):
+            raise TypeError(f"{c}: only text, numbers and booleans can be carried along")
+
+    def carried(c: str) -> Column:
+        # Floats hold whole numbers up to 2**53 only, hence big ids travel as text.
+        return F.col(c).cast("string") if isinstance(kinds[c], T.LongType) else F.col(c)
+
     left = txns.select(
         "account_id", share.alias("key_share"), F.col("txn_ts").alias("mark_ts"),
-        F.lit(True).alias("is_txn"), F.unix_micros("txn_ts").alias("txn_us"), *own,
+        F.lit(True).alias("is_txn"), F.unix_micros("txn_ts").alias("txn_us"), *[carried(c).alias(c) for c in own],
     )
     right = logins.select(
         "account_id", F.explode(shares).alias("key_share"), F.col("event_ts").alias("mark_ts"),
         F.lit(False).alias("is_txn"), F.unix_micros("event_ts").alias("login_us"),
-        F.col("event_id").alias("last_event_id"), *login_cols,
+        carried("event_id").alias("last_event_id"), *[carried(c).alias(c) for c in login_cols],
     )
     both = left.unionByName(right, allowMissingColumns=True)
-    kinds = {f.name: f for f in both.schema.fields}
-    txn_schema = T.StructType([T.StructField(c, kinds[c].dataType) for c in ("txn_us", *own)])
-    login_schema = T.StructType([
-        T.StructField(c, kinds[c].dataType) for c in ("login_us", "last_event_id", *login_cols)
-    ])
-    keys = [T.StructField("account_id", kinds["account_id"].dataType)]
+    sent = {f.name: T.StructField(f.name, f.dataType) for f in both.schema.fields}
+    txn_schema = T.StructType([sent[c] for c in ("txn_us", *own)])
+    login_schema = T.StructType([sent[c] for c in ("login_us", "last_event_id", *login_cols)])
+    keys = [sent["account_id"]]
     out = T.StructType(keys + txn_schema.fields + login_schema.fields)
     matched = both.groupBy("account_id", "key_share").transformWithStateInPandas(
-        statefulProcessor=LoginMatcher(txn_schema, login_schema, out.names),
+        statefulProcessor=LoginMatcher(
+            txn_schema, login_schema, out.names, isinstance(kinds["event_id"], T.LongType)
+        ),
         outputStructType=out,
         outputMode="Append",
         timeMode="EventTime",
     )
+    def restored(c: str, source: str | None = None) -> Column:
+        return F.col(c).cast(kinds[source or c])
+
     return matched.select(
         *[
-            F.timestamp_micros("txn_us").alias("txn_ts") if c == "txn_ts" else F.col(c)
+            F.timestamp_micros("txn_us").alias("txn_ts") if c == "txn_ts" else restored(c)
             for c in txn.columns
         ],
-        F.timestamp_micros("login_us").alias("last_auth_ts"), "last_event_id", *login_cols,
+        F.timestamp_micros("login_us").alias("last_auth_ts"),
+        restored("last_event_id", "event_id"), *[restored(c) for c in login_cols],
     )
-

@@ -134,6 +134,30 @@ def test_stream_asof_waits_for_late_logins_over_restarts(spark):
     assert released(spark, scratch_path(spark, "asof-hot"), batches, hot) == want
 
 
+def test_stream_asof_keeps_gaps_and_big_ids(spark):
+    root = scratch_path(spark, "asof-gaps")
+    big = 2**53 + 1
+    logins = auth_frame(
+        spark, login("0", "A", -9, geo="x", fails=3), login("1", "A", -5, geo=None, fails=None),
+        login("2", "A", 2, geo="y", fails=7), login("9", "Z", 90),
+    ).withColumn("event_id", F.col("event_id").cast("bigint") + big)
+    spends = txn_frame(
+        spark, spend("0", "A", -6, None), spend("1", "A", 0, 2.5), spend("2", "A", 3), spend("9", "Z", 90)
+    ).withColumn("txn_id", F.col("txn_id").cast("bigint") + big)
+    logins.coalesce(1).write.parquet(f"{root}/auth")
+    spends.coalesce(1).write.parquet(f"{root}/txn")
+    asof_stream.use_rocksdb(spark)
+    stream = asof_stream.fuse_stream(
+        read_table(spark, f"{root}/txn", streaming=True),
+        read_table(spark, f"{root}/auth", streaming=True), "10 minutes",
+    )
+    finish(run.start(stream, f"{root}/out", f"{root}/cp"))
+    rows = spark.read.parquet(f"{root}/out").where("account_id = 'A'").orderBy("txn_ts").collect()
+    assert [(r.txn_id - big, r.last_event_id - big, r.failed_attempts_1h, r.ip_geo, r.amount) for r in rows] == [
+        (0, 0, 3, "x", None), (1, 1, None, None, 2.5), (2, 2, 7, "y", 20.0),
+    ]
+
+
 def test_velocity_windows(spark):
     root = scratch_path(spark, "velocity")
     txn_frame(spark, spend("a", "A", 0, 1.0), spend("b", "A", 20, 2.0), spend("z", "B", 600)).coalesce(
