@@ -761,9 +761,12 @@ def _(spark, sf_dir):
     root = scratch_path(spark, "upsert")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        f = load_feeds(batch.sparkSession, sf_dir)
-        gold = enrich.fuse_microbatch(batch, f.auth, f.accounts)
-        serving_stream.upsert_serving(scoring.rule_score(gold), batch_id, root)
+        f, held = load_feeds(batch.sparkSession, sf_dir), batch.persist()
+        try:
+            gold = enrich.fuse_microbatch(held, f.auth, f.accounts)
+            serving_stream.upsert_serving(scoring.rule_score(gold), batch_id, root)
+        finally:
+            held.unpersist()
 
     run.start_batches(
         tables.txn_from(_event_stream(spark, sf_dir)), handle, f"{root}/checkpoint"

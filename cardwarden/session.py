@@ -15,6 +15,8 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
 }
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the SQL settings the jobs rely on to a session made elsewhere."""
@@ -53,9 +55,10 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="cardwarden-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="cardwarden-")
+    return _LOCAL_FOLDERS[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
