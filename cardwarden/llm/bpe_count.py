@@ -7,22 +7,24 @@ two neighbours and offers the two new pairs beside them. The count of a word is
 its bytes minus its merges: no token id is ever looked up. A word of n bytes
 takes n log n steps, so a very long run of letters is no trouble.
 
-Words repeat, so their counts are kept in a table of bounded size per task.
+Words repeat, so their counts are kept in a table of bounded size per process.
 """
 
 from __future__ import annotations
 
-import heapq
 import json
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cardwarden.llm.frames import process_table
+
 LIMIT = 1024  # more tokens than this is over the limit
-KEPT_WORDS = 300_000  # words whose counts a task remembers
+KEPT_WORDS = 1_000_000  # words whose counts a Python process remembers
 _LONG = 1_000_000  # characters from which words are taken one at a time
 
 # Fixed: how byte-level vocabularies split a text into words.
@@ -42,15 +44,21 @@ def byte_symbols() -> list[str]:
 
 
 class Counter(dict):
-    """word -> number of tokens, computed at first use."""
+    """word -> number of tokens, computed at first use.
+
+    Symbols are numbers: the bytes, then one for each distinct merged string.
+    """
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
-        merges = spec["model"]["merges"]
-        pairs = (tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in merges)
-        self.ranks = {pair: rank for rank, pair in enumerate(pairs)}
-        self.symbols = byte_symbols()
+        known = {symbol: byte for byte, symbol in enumerate(byte_symbols())}
+        self.ranks: dict[int, int] = {}  # left << 32 | right -> rank
+        self.made: list[int] = []  # rank -> symbol
+        for rank, merge in enumerate(spec["model"]["merges"]):
+            left, right = merge if isinstance(merge, list) else merge.split(" ")
+            self.ranks[known[left] << 32 | known[right]] = rank
+            self.made.append(known.setdefault(left + right, len(known)))
         self.words = regex.compile(WORDS)
         added = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)
         self.added = regex.compile("|".join(map(regex.escape, added))) if added else None
@@ -59,37 +67,39 @@ class Counter(dict):
         if len(self) >= KEPT_WORDS:
             self.clear()
         data = word.encode("utf-8", "surrogatepass")
-        count = self[word] = len(data) - self.merges([self.symbols[b] for b in data])
+        count = self[word] = len(data) - self.merges(data)
         return count
 
-    def merges(self, symbols: list[str]) -> int:
-        """How many merges the symbols of one word allow."""
-        size, ranks = len(symbols), self.ranks
-        after = [*range(1, size), -1]
-        before = [*range(-1, size - 1)]
+    def merges(self, data: bytes) -> int:
+        """How many merges the bytes of one word allow."""
+        rank_of, made, size = self.ranks.get, self.made, len(data)
+        symbols = [*data, -1]  # the end marker forms no pair
         heap = [
-            (rank, i)
-            for i, pair in enumerate(zip(symbols, symbols[1:]))
-            if (rank := ranks.get(pair)) is not None
+            rank << 32 | i
+            for i in range(size - 1)
+            if (rank := rank_of(data[i] << 32 | data[i + 1])) is not None
         ]
-        heapq.heapify(heap)
+        heapify(heap)
+        after, before = [*range(1, size + 1)], [*range(-1, size)]
         done = 0
         while heap:
-            rank, left = heapq.heappop(heap)
-            right = after[left] if symbols[left] else -1
-            if right < 0 or ranks.get((symbols[left], symbols[right])) != rank:
-                continue
+            entry = heappop(heap)
+            rank, left = entry >> 32, entry & 0xFFFFFFFF
+            if symbols[left] < 0:
+                continue  # merged into its left neighbour meanwhile
+            right = after[left]
+            if right == size or rank_of(symbols[left] << 32 | symbols[right]) != rank:
+                continue  # one side has changed since
             done += 1
-            symbols[left] += symbols[right]
-            symbols[right] = ""
+            whole = symbols[left] = made[rank]
+            symbols[right] = -1
             last = after[left] = after[right]
-            if last >= 0:
-                before[last] = left
-                if (rank := ranks.get((symbols[left], symbols[last]))) is not None:
-                    heapq.heappush(heap, (rank, left))
+            before[last] = left
+            if last < size and (new := rank_of(whole << 32 | symbols[last])) is not None:
+                heappush(heap, new << 32 | left)
             first = before[left]
-            if first >= 0 and (rank := ranks.get((symbols[first], symbols[left]))) is not None:
-                heapq.heappush(heap, (rank, first))
+            if first >= 0 and (new := rank_of(symbols[first] << 32 | whole)) is not None:
+                heappush(heap, new << 32 | first)
         return done
 
     def count(self, text: str) -> int:
@@ -118,9 +128,11 @@ def token_counts(docs: DataFrame, vocabulary: str, limit: int = LIMIT) -> DataFr
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = None
+        kept = process_table("token_counts")
         for batch in batches:
-            counter = Counter(vocabulary) if counter is None else counter
+            if vocabulary not in kept:
+                kept[vocabulary] = Counter(vocabulary)
+            counter = kept[vocabulary]
             found = [t.as_py() for t in batch.column("text")]
             sizes = [len(t.encode("utf-8", "surrogatepass")) for t in found]
             tokens = [counter.count(t) for t in found]

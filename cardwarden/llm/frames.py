@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+from types import ModuleType
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,3 +50,13 @@ def same_row(left: DataFrame, right: DataFrame) -> Column:
 def crc_of_id(column: str = "doc_id") -> Column:
     """crc32 of an id written as text; null for a null id."""
     return F.crc32(F.col(column).cast("string"))
+
+
+def process_table(name: str) -> dict:
+    """A table that lives as long as the Python process; Spark's workers run many tasks in one.
+
+    Functions that travel with a job get fresh module globals in every task, so
+    the table hangs on a module name of its own.
+    """
+    module = sys.modules.setdefault(f"_cardwarden_{name}", ModuleType(name))
+    return vars(module).setdefault("table", {})

@@ -17,33 +17,39 @@ of the pieces is ranked in many tasks.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardwarden.llm.frames import written
+from cardwarden.llm.frames import process_table, written
 
 CAPACITY = 4096
 END_ID = 1  # closes every document
-KEPT_WORDS = 200_000  # words whose ids a task remembers
+KEPT_WORDS = 700_000  # words whose ids a Python process remembers
 RANK_BUCKETS = 64
 
-# A chunk between ASCII white space that is plain Latin letters and then marks splits after the
-# letters whatever the vocabulary's rules are; the apostrophe is left out, it belongs to endings.
-_PLAIN = regex.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!?.,;:#$%&*|]+)")
-_LONG = 1_000_000
+# Fixed: how the vocabulary splits lower-cased text, for the characters of plain text (below).
+WORDS = re.compile(r"[a-zß-öø-ÿ]+|'(?:s|t|re|ve|m|ll|d)|[0-9]|[^\x20\x09-\x0Da-z0-9ß-öø-ÿ]+")
+# Text whose normal form is its lower case: ASCII and accented letters of one character,
+# without an added token's string.
+_OTHER = re.compile(r"[^\x00-\x7FÀ-ÖØ-öø-ÿ]|<\|")
+_SPACE = re.compile(r"[\x20\x09-\x0D]")
+_PART = 1 << 20  # characters taken at a time
+_ASKED = 2000  # new words given to the tokenizer at a time
 
 
 class Ids(dict):
-    """chunk of text without ASCII white space -> its ids as little-endian 32-bit numbers.
+    """word -> its ids as little-endian 32-bit numbers, from the tokenizer itself.
 
-    The vocabulary drops white space and never joins across it, so a text's ids
-    are the ids of its chunks in order.
+    The vocabulary splits text into words before any merge, so a text's ids are
+    its words' ids in order; new words are given to the tokenizer many at a time,
+    with a space between. What is not plain goes to the tokenizer as it stands,
+    in chunks between ASCII white space, which no word crosses.
     """
 
     def __init__(self, path: str):
@@ -51,30 +57,68 @@ class Ids(dict):
 
         self.tokenizer = Tokenizer.from_file(path)
 
-    def __missing__(self, chunk: str) -> bytes:
+    def of(self, texts: list[str]) -> list[bytes]:
+        """All ids of each text."""
+        out = [b""] * len(texts)
+        some: list[tuple[int, list[str]]] = []
+        size = 0
+        for i, text in enumerate(texts):
+            for part in _parts(text):
+                some.append((i, self._split(part)))
+                size += len(part)
+                if size >= _PART:
+                    self._join(some, out)
+                    some, size = [], 0
+        self._join(some, out)
+        return out
+
+    def _split(self, part: str) -> list[str]:
+        if _plain(part):
+            return WORDS.findall(part.lower())
+        found = []
+        for chunk in _SPACE.split(part):
+            found += WORDS.findall(chunk.lower()) if _plain(chunk) else [chunk]
+        return found
+
+    def _join(self, some: list[tuple[int, list[str]]], out: list[bytes]) -> None:
+        found = [list(map(self.get, words)) for _, words in some]
+        lack = [k for k, codes in enumerate(found) if None in codes]
+        self._learn({w for k in lack for w, code in zip(some[k][1], found[k]) if code is None})
+        for k in lack:
+            found[k] = list(map(self.__getitem__, some[k][1]))
+        for (i, _), codes in zip(some, found):
+            out[i] += b"".join(codes)
         if len(self) >= KEPT_WORDS:
             self.clear()
-        plain = _PLAIN.fullmatch(chunk)
-        if plain:
-            found = self[plain[1].lower()] + self[plain[2]]
-        elif (low := chunk.lower()) != chunk and low.isascii() and low.isalpha():
-            found = self[low]
-        else:
-            ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
-            found = np.array(ids, dtype="<u4").tobytes()
-        self[chunk] = found
-        return found
 
-    def of(self, text: str) -> bytes:
-        """All ids of a text."""
-        return b"".join(map(self.__getitem__, _chunks(text)))
+    def _learn(self, new: set[str]) -> None:
+        plain = [w for w in new if _plain(w)]
+        for at in range(0, len(plain), _ASKED):
+            asked = plain[at : at + _ASKED]
+            code = self.tokenizer.encode(" ".join(asked), add_special_tokens=False)
+            ids = np.array(code.ids, dtype="<u4")
+            ends = np.searchsorted(np.array(code.word_ids), np.arange(len(asked)), side="right")
+            for word, lo, hi in zip(asked, [0, *ends], ends):
+                self[word] = ids[lo:hi].tobytes()
+        for word in new.difference(plain):
+            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+            self[word] = np.array(ids, dtype="<u4").tobytes()
+
+
+def _plain(text: str) -> bool:
+    return "<|" not in text if text.isascii() else not _OTHER.search(text)
 
 
-def _chunks(text: str) -> Iterator[str]:
-    pattern = r"[^\x20\x09-\x0D]+"
-    if len(text) < _LONG:
-        return iter(regex.findall(pattern, text))
-    return (m.group() for m in regex.finditer(pattern, text))
+def _parts(text: str) -> Iterator[str]:
+    """The text, cut at ASCII white space if it is very long."""
+    at = 0
+    while len(text) - at > _PART:
+        cut = _SPACE.search(text, at + _PART)
+        if not cut:
+            break
+        yield text[at : cut.start()]
+        at = cut.end()
+    yield text[at:]
 
 
 def pieces(
@@ -91,13 +135,14 @@ def pieces(
     last = np.array([end_id], dtype="<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = None
+        kept = process_table("token_ids")
         for batch in batches:
-            ids = Ids(vocabulary) if ids is None else ids
+            if vocabulary not in kept:
+                kept[vocabulary] = Ids(vocabulary)
             out = []
-            for doc, th, text in zip(*(batch.column(k) for k in range(3))):
-                data = ids.of(text.as_py()) + last
-                doc, th = doc.as_py(), th.as_py()
+            doc_ids, hashes, found = (batch.column(k).to_pylist() for k in range(3))
+            for doc, th, data in zip(doc_ids, hashes, kept[vocabulary].of(found)):
+                data += last
                 for piece, at in enumerate(range(0, len(data), 4 * capacity)):
                     part = data[at : at + 4 * capacity]
                     out.append((doc, th, piece, at // 4, len(part) // 4, zlib.crc32(part)))
