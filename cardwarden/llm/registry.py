@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwarden.llm import bpe_count, packing, simhash
+from cardwarden.llm import bpe_count, packing, simhash, suffixes
 from cardwarden.llm.frames import read_table
 
 
@@ -30,13 +30,17 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_count.token_counts(docs, vocabulary("byte_bpe_50k.json"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.removal_report(read_table(spark, sf_dir, "documents"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return packing.packed(docs, vocabulary("word_bpe_49k.json")).drop("th")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op2_token_counts, op7_packing)}
+    return {f.__name__: f for f in (op1_simhash, op2_token_counts, op4_suffix_dedup, op7_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
