@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwarden.llm import bpe_count, packing, simhash, suffixes
+from cardwarden.llm import bpe_count, langid, packing, simhash, suffixes, toxicity
 from cardwarden.llm.frames import read_table
 
 
@@ -30,6 +30,12 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_count.token_counts(docs, vocabulary("byte_bpe_50k.json"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    found = langid.predict(docs, langid.fit(docs, langid.not_held_out()))
+    return found.select("doc_id", (~langid.not_held_out()).alias("held_out"), "lang_pred", "score")
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.removal_report(read_table(spark, sf_dir, "documents"))
 
@@ -39,8 +45,16 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(docs, vocabulary("word_bpe_49k.json")).drop("th")
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (read_table(spark, sf_dir, t) for t in ("documents", "labels"))
+    lexicon = toxicity.fit(docs, labels, ~toxicity.held_out())
+    return toxicity.scores(docs, lexicon).select(
+        "doc_id", toxicity.held_out().alias("held_out"), "score", "predicted"
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op2_token_counts, op4_suffix_dedup, op7_packing)}
+    return {f.__name__: f for f in (op1_simhash, op2_token_counts, op3_language_id, op4_suffix_dedup, op7_packing, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
