@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwarden.llm import bpe_count, langid, packing, simhash, suffixes, toxicity
+from cardwarden.llm import bpe_count, decontam, hnsw, langid, licenses, packing, simhash, suffixes, toxicity
 from cardwarden.llm.frames import read_table
 
 
@@ -40,11 +40,25 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.removal_report(read_table(spark, sf_dir, "documents"))
 
 
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.licenses(read_table(spark, sf_dir, "documents")).drop("th")
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return packing.packed(docs, vocabulary("word_bpe_49k.json")).drop("th")
 
 
+def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return hnsw.search(vectors, F.col("vec_id") % 20 == 0)
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = (read_table(spark, sf_dir, t) for t in ("documents", "benchmark"))
+    return decontam.contaminated(docs, items).drop("th")
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = (read_table(spark, sf_dir, t) for t in ("documents", "labels"))
     lexicon = toxicity.fit(docs, labels, ~toxicity.held_out())
@@ -54,7 +68,19 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op2_token_counts, op3_language_id, op4_suffix_dedup, op7_packing, op10_toxicity)}
+    """One query for each operator, over its whole table."""
+    found = (
+        op1_simhash,
+        op2_token_counts,
+        op3_language_id,
+        op4_suffix_dedup,
+        op5_licenses,
+        op7_packing,
+        op8_nearest_neighbours,
+        op9_decontamination,
+        op10_toxicity,
+    )
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:

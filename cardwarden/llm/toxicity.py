@@ -200,7 +200,7 @@ def _cover(rows: DataFrame, weights: dict[str, float], ratio: float) -> dict[str
     """The candidates that explain the toxic sample, one after the other.
 
     Each step takes the entry with the most toxic texts that no earlier entry is
-    in, less the clean texts it is in (scaled to equal numbers of both). Entries
+    in, less twice the clean ones it is in (scaled to equal numbers of both). Entries
     that only go along with others, as in copies of one text, explain nothing new.
     """
     entries = list(weights)
@@ -234,7 +234,7 @@ def _cover(rows: DataFrame, weights: dict[str, float], ratio: float) -> dict[str
     kept: dict[str, float] = {}
     explained: set[int] = set()
     while len(kept) < LEXICON:
-        gains = [len(t - explained) - c * ratio * ODDS for t, c in zip(texts_of, clean)]
+        gains = [len(t - explained) - c * ratio * 2 for t, c in zip(texts_of, clean)]
         best = max(range(len(entries)), key=lambda i: (gains[i], -len(entries[i]), entries[i]))
         if gains[best] < LEAST / 2:
             return kept
