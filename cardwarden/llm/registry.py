@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwarden.llm import bpe_count, decontam, hnsw, langid, licenses, packing, simhash, suffixes, toxicity
+from cardwarden.llm import bpe_count, decontam, hnsw, langid, licenses, packing, quotes, simhash, suffixes, toxicity
 from cardwarden.llm.frames import read_table
 
 
@@ -44,6 +44,10 @@ def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.licenses(read_table(spark, sf_dir, "documents")).drop("th")
 
 
+def op6_quotations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.conversations(read_table(spark, sf_dir, "conversations"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return packing.packed(docs, vocabulary("word_bpe_49k.json")).drop("th")
@@ -75,6 +79,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op3_language_id,
         op4_suffix_dedup,
         op5_licenses,
+        op6_quotations,
         op7_packing,
         op8_nearest_neighbours,
         op9_decontamination,
