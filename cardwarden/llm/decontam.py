@@ -1,10 +1,10 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
 The word n-grams of the test items are the seeds. A first pass counts in how many
-training texts each occurs; of every item the rarer half stays (up to its median
-count, ties included), so common phrases start nothing, and an item whose every
-phrase is common still has seeds. A second pass joins texts to items over the
-seeds they share; around each shared seed the text is aligned with the item, word
+training texts each occurs. A phrase that a hundredth of all texts have starts
+nothing, unless it is no more common than ``COMMON_TIMES`` the upper quartile of
+its item's phrases: an item that leaked into very many texts, whole or edited,
+keeps its seeds. A second pass joins texts to items over the seeds they share; around each shared seed the text is aligned with the item, word
 by word, and the best local alignment, as a share of a perfect one, is the score.
 
 Items are taken in blocks whose seeds have a bounded size and travel to the
@@ -26,6 +26,7 @@ from cardwarden.llm.frames import keyed_rows, same_row, texts
 SEED_WORDS = 3
 THRESHOLD = 0.5  # share of a perfect alignment from which a text counts as contaminated
 MATCH, MISMATCH, GAP = 2, -1, -1
+COMMON_SHARE, COMMON_TIMES = 0.01, 20
 BLOCK_WORDS = 500_000  # words of the items taken together, about
 
 _WORD = re.compile(r"\w+")
@@ -194,8 +195,9 @@ def _counter(seeds: Seeds):
     longest = max((len(i) for i in seeds.items), default=0)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(seeds.grams), dtype=np.int64)
+        total = np.zeros(len(seeds.grams) + 1, dtype=np.int64)  # the last counts texts
         for batch in batches:
+            total[-1] += batch.num_rows
             for text in batch.column("text"):
                 found = [
                     seeds.hits(seeds.coded_text(words))[1]
@@ -208,8 +210,8 @@ def _counter(seeds: Seeds):
     return count
 
 
-def _rare(seeds: Seeds, counts: dict[int, int]) -> np.ndarray:
-    """Which seeds are in the rarer half of at least one item they occur in."""
+def _rare(seeds: Seeds, counts: dict[int, int], total: int) -> np.ndarray:
+    """Which seeds are rare enough for at least one item they occur in."""
     of_item: dict[int, list[int]] = {}
     for seed, places in enumerate(seeds.places):
         for item in {i for i, _ in places}:
@@ -217,7 +219,8 @@ def _rare(seeds: Seeds, counts: dict[int, int]) -> np.ndarray:
     rare = np.zeros(len(seeds.grams), dtype=bool)
     for own in of_item.values():
         n = np.array([counts.get(s, 0) for s in own])
-        rare[np.array(own)[n <= np.median(n)]] = True
+        usual = COMMON_TIMES * np.quantile(n, 0.75)
+        rare[np.array(own)[n <= max(usual, COMMON_SHARE * total, 1)]] = True
     return rare
 
 
@@ -254,7 +257,7 @@ def contaminated(
         totals = dict(
             counts.groupBy("seed").agg(F.sum("n").alias("n")).collect()  # one row a seed
         )
-        rare = _rare(seeds, totals)
+        rare = _rare(seeds, totals, totals.get(len(seeds.grams), 0))
         found = text.mapInArrow(
             _scan(seeds, rare, threshold),
             "doc_id long, th long, item int, score double, first_word long, last_word long",
