@@ -16,8 +16,8 @@ CARD_IMPORTANCES = {
 }
 
 
-def _entry(pos: int, feature: str, importance: float, floor: float) -> Column:
-    value = F.coalesce(F.col(feature).cast("double"), F.lit(0.0))
+def _entry(pos: int, feature: str, known: bool, importance: float, floor: float) -> Column:
+    value = F.coalesce(F.col(feature).cast("double"), F.lit(0.0)) if known else F.lit(0.0)
     fired = value != 0
     weight = F.when(fired, F.lit(max(importance, floor))).otherwise(F.lit(0.0))
     return F.struct(
@@ -38,12 +38,13 @@ def top_contributors(
     """The ``n`` heaviest features per transaction, one row each, ranked from 1.
 
     A feature with a nonzero value weighs its importance, but at least ``floor``;
-    others weigh 0. Ties keep card order. The few features are ranked inside the
+    others weigh 0, and so does one the frame lacks. Ties keep card order. The few features are ranked inside the
     row, so nothing is shuffled.
     """
     card = importances or CARD_IMPORTANCES
     entries = F.array(*[
-        _entry(i, name, float(imp), floor) for i, (name, imp) in enumerate(card.items())
+        _entry(i, name, name in scored.columns, float(imp), floor)
+        for i, (name, imp) in enumerate(card.items())
     ])
     ranked = F.slice(F.array_sort(entries), 1, n)
     return (

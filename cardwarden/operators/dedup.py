@@ -6,6 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def _ordered(kind: T.DataType) -> bool:
+    return not isinstance(kind, (T.MapType, T.VariantType))
 
 
 def dedup_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
@@ -13,9 +18,14 @@ def dedup_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) ->
 
     Written as ``row_number() == 1`` so that Catalyst cuts each input partition
     to one row per key before the shuffle; many copies of one key never meet in
-    one task. ``order_by`` should end in a column that makes the order total.
+    one task. What ``order_by`` leaves equal is settled by all other columns that
+    have an order, so the survivor never depends on the order of the input.
     """
-    newest = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in order_by])
+    named = {*keys, *order_by}
+    rest = [f.name for f in df.schema.fields if f.name not in named and _ordered(f.dataType)]
+    newest = Window.partitionBy(*keys).orderBy(
+        *[F.col(c).desc_nulls_last() for c in [*order_by, *rest]]
+    )
     return df.withColumn("_rn", F.row_number().over(newest)).where("_rn = 1").drop("_rn")
 
 

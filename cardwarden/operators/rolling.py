@@ -65,6 +65,14 @@ def _sweep(
     if events is not None:
         rows = rows.unionByName(events.select(by, "_us", *values), allowMissingColumns=True)
     rows = split.slice(rows, "_us", mirrored)
+    # What leaves a cut key's sums after its last probe serves none, and would pile up in one
+    # slice. One row for each cut key, so it is as small as the table of cut keys.
+    last = rows.where("_probe AND _cut IS NOT NULL").groupBy(by).agg(F.max("_us").alias("_last"))
+    rows = (
+        rows.join(F.broadcast(last), by, "left")
+        .where("_probe OR _cut IS NULL OR _us <= _last")
+        .drop("_last")
+    )
     seeds = split.seeds(rows, {v: F.sum(v) for v in values}, F.sum, mirrored)
     ordered = Window.partitionBy(by, SLICE).orderBy("_us")
     sums = {}

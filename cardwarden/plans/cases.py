@@ -32,7 +32,7 @@ def _never() -> Column:
     return F.lit(False)
 
 
-def _with_narrative(top: DataFrame, cases: DataFrame) -> DataFrame:
+def _with_narrative(top: DataFrame, cases: DataFrame, order: list[Column]) -> DataFrame:
     """Adds the narratives of a short, already cut list.
 
     The case table is first reduced to the listed ids. The list has a fixed
@@ -42,7 +42,8 @@ def _with_narrative(top: DataFrame, cases: DataFrame) -> DataFrame:
     wanted = cases.select("txn_id", "reason_narrative").join(
         F.broadcast(top.select("txn_id")), "txn_id", "left_semi"
     )
-    return top.join(wanted, "txn_id", "left")
+    joined = top.join(wanted, "txn_id", "left")
+    return joined.orderBy(*order)  # a join keeps no order
 
 
 def case_queue(scored: DataFrame, cases: DataFrame, first_txn=None, n: int = 12) -> DataFrame:
@@ -52,7 +53,7 @@ def case_queue(scored: DataFrame, cases: DataFrame, first_txn=None, n: int = 12)
     """
     first = F.col("txn_id") == F.lit(first_txn) if first_txn is not None else _never()
     top = scored.where(first | has_code("ato_signal")).orderBy(*_first_then_risk(first)).limit(n)
-    return _with_narrative(top, cases)
+    return _with_narrative(top, cases, _first_then_risk(first))
 
 
 def flagged(scored: DataFrame, n: int = 10, first_account=None) -> DataFrame:
@@ -69,7 +70,8 @@ def head_by_time(df: DataFrame, n: int) -> DataFrame:
 def queue_from_table(scored: DataFrame, first_txn, n: int = 8) -> DataFrame:
     """A named transaction together with the ``n`` earliest that carry the signal, each once."""
     named = scored.where(F.col("txn_id") == F.lit(first_txn))
-    return union_distinct([named, head_by_time(with_code(scored, "ato_signal"), n)], "txn_id")
+    both = union_distinct([named, head_by_time(with_code(scored, "ato_signal"), n)], "txn_id")
+    return both.orderBy(F.col("txn_id") != F.lit(first_txn), "txn_ts", "txn_id")
 
 
 def top_risk_approved(scored: DataFrame, cases: DataFrame, n: int = 10) -> DataFrame:
@@ -77,7 +79,7 @@ def top_risk_approved(scored: DataFrame, cases: DataFrame, n: int = 10) -> DataF
     top = (
         scored.where(F.col("decision") == "approve").orderBy(*_first_then_risk(_never())).limit(n)
     )
-    return _with_narrative(top, cases)
+    return _with_narrative(top, cases, _first_then_risk(_never()))
 
 
 def narrative() -> Column:

@@ -51,14 +51,15 @@ def within_last(
 
     ``clock`` is a cheaper frame that holds the same newest time, such as the feed.
     """
-    newest = (clock if clock is not None else df).agg(F.max(F.unix_micros(ts))).scalar()
-    return df.where(F.unix_micros(ts) > newest - F.lit(seconds * 1_000_000))
+    newest = (clock if clock is not None else df).agg(F.max(ts)).scalar()
+    # The bare column on one side: files whose times are all older are not read.
+    return df.where(F.col(ts) > newest - F.make_dt_interval(secs=F.lit(seconds)))
 
 
 def on_last_day(df: DataFrame, ts: str, clock: DataFrame | None = None) -> DataFrame:
     """Rows of the newest calendar day in the data ("today")."""
-    today = (clock if clock is not None else df).agg(F.to_date(F.max(ts))).scalar()
-    return df.where(F.to_date(ts) == today)
+    today = (clock if clock is not None else df).agg(F.date_trunc("day", F.max(ts))).scalar()
+    return df.where(F.col(ts) >= today)
 
 
 def profile(auth: DataFrame, txn: DataFrame, accounts: DataFrame) -> DataFrame:
@@ -188,12 +189,18 @@ def _avoided() -> Column:
 
 
 def weekly_loss_avoided(df: DataFrame) -> DataFrame:
-    """Declined fraud per week beside the week before. One row per calendar week."""
+    """Declined fraud per week beside the week before. One row per week with transactions.
+
+    The week before is the calendar week; if it has no transactions its sum and
+    the change are null, as in the first week.
+    """
     weekly = df.where(F.col("txn_ts").isNotNull()).groupBy(
         F.to_date(F.date_trunc("week", "txn_ts")).alias("week")
     ).agg(_avoided().alias("_c"))
     # The window runs over the weeks, not over the rows.
-    before = F.lag("_c").over(Window.orderBy("week"))
+    weeks = Window.orderBy("week")
+    adjoining = F.lag("week").over(weeks) == F.date_sub("week", 7)
+    before = F.when(adjoining, F.lag("_c").over(weeks))
     return weekly.withColumn("_p", before).select(
         "week", _money(F.col("_c")).alias("loss_avoided"),
         _money(F.col("_p")).alias("loss_avoided_prev_week"),
@@ -289,16 +296,17 @@ def threshold_sweep(
 ) -> DataFrame:
     """``shadow_eval`` at many thresholds.
 
-    Rows are first summed per (segment, decision, label, rounded score), a few
-    thousand groups at most per segment, and only those meet the thresholds.
+    Rows are first summed per (segment, decision, label, number of thresholds the
+    unrounded score reaches), and only those sums meet the thresholds.
     """
-    summed = scored.groupBy(
-        by, "decision", "fraud_label", F.round("risk_score", 4).alias("risk_score")
-    ).agg(F.count("*").alias("_n"), F.sum(cents("amount")).alias("_cents"))
-    grid = summed.withColumn(
-        "threshold", F.explode(F.array(*[F.lit(float(t)) for t in thresholds]))
+    steps = [float(t) for t in sorted(set(thresholds))]
+    ordered = F.array(*[F.lit(t) for t in steps])
+    reached = F.size(F.filter(ordered, lambda t: F.coalesce(F.col("risk_score") >= t, F.lit(False))))
+    summed = scored.groupBy(by, "decision", "fraud_label", reached.alias("_reached")).agg(
+        F.count("*").alias("_n"), F.sum(cents("amount")).alias("_cents")
     )
-    held = F.coalesce(F.col("risk_score") >= F.col("threshold"), F.lit(False))
+    grid = summed.select("*", F.posexplode(ordered).alias("_step", "threshold"))
+    held = F.col("_reached") > F.col("_step")
     return _pilot(grid, [by, "threshold"], held, F.col("_n"))
 
 

@@ -57,20 +57,20 @@ def stratified_split(
     are the test rows. A class is far too big for one task, so rows are ranked
     inside hash buckets and the bucket totals (at most 65,536 per class, hence
     safe to broadcast) give the rank of each bucket's first row. Otherwise a
-    plain hash threshold: no shuffle, sizes right to within sampling noise.
+    plain hash threshold: no shuffle, sizes right to within sampling noise. Rows
+    without a label of ``classes`` stay, and their split is null.
     """
     hashed = df.withColumn("_h", _hash_order(seed))
+    known = F.coalesce(F.col(label).isin(*classes), F.lit(False))
     if not exact:
         share = F.conv(F.substring("_h", 1, 8), 16, 10).cast("bigint") / F.lit(float(16**8))
         return hashed.withColumn(
-            "split", F.when(share < frac, "test").otherwise("train")
+            "split", F.when(known, F.when(share < frac, "test").otherwise("train"))
         ).drop("_h")
-    hashed = hashed.where(F.col(label).isin(*classes)).withColumn(
-        "_b", F.substring("_h", 1, _SPLIT_DIGITS)
-    )
+    hashed = hashed.withColumn("_b", F.substring("_h", 1, _SPLIT_DIGITS))
     by_class = Window.partitionBy(label)
     totals = (
-        hashed.groupBy(label, "_b").agg(F.count("*").alias("_n"))
+        hashed.where(known).groupBy(label, "_b").agg(F.count("*").alias("_n"))
         .withColumn("_total", F.sum("_n").over(by_class))
         .withColumn("_upto", F.sum("_n").over(by_class.orderBy("_b")))
         .select(label, "_b", (F.col("_upto") - F.col("_n")).alias("_before"), "_total")
@@ -82,7 +82,9 @@ def stratified_split(
         .join(F.broadcast(totals), [label, "_b"], "left")
         .withColumn(
             "split",
-            F.when(rank <= F.round(F.col("_total") * frac), "test").otherwise("train"),
+            F.when(
+                known, F.when(rank <= F.round(F.col("_total") * frac), "test").otherwise("train")
+            ),
         )
         .drop("_h", "_b", "_rn", "_before", "_total")
     )
@@ -153,20 +155,25 @@ def rule_score(df: DataFrame, version: str = RULE_VERSION) -> DataFrame:
 def roc_auc(
     df: DataFrame, label: str = "fraud_label", score_col: str = "risk_score", digits: int = 4
 ) -> DataFrame:
-    """Exact area under the ROC curve of the rounded score, ties counted half.
+    """Exact area under the ROC curve of the unrounded score, ties counted half.
 
-    Rows are first counted per score value. Rounding leaves at most
-    10**digits + 1 values, so the single ordered pass after it is small at any
-    data size.
+    Rows are first counted per score value. Values are ordered inside ranges of
+    the score, of which there are at most 10**digits + 1, and one small ordered
+    pass over the ranges adds what lies below each.
     """
     wide = "decimal(19,0)"
-    per_score = df.groupBy(F.round(score_col, digits).alias("_s")).agg(
+    per_score = df.groupBy(F.col(score_col).alias("_s")).agg(
         F.count_if(F.col(label) == 1).cast("decimal(18,0)").alias("pos"),
         F.count_if(F.col(label) == 0).cast(wide).alias("neg"),
+    ).withColumn("_range", F.coalesce(F.floor(F.col("_s") * 10**digits), F.lit(-1)))
+    below = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = per_score.groupBy("_range").agg(F.sum("neg").alias("_all")).select(
+        "_range", F.coalesce(F.sum("_all").over(below), F.lit(0)).alias("_below")
     )
-    lower = Window.orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-    beaten = 2 * F.coalesce(F.sum("neg").over(lower), F.lit(0)) + F.col("neg")
-    pairs = per_score.withColumn("_won", F.col("pos") * beaten.cast(wide)).agg(
+    inside = Window.partitionBy("_range").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    lower = F.coalesce(F.sum("neg").over(inside), F.lit(0)) + F.col("_below")
+    won = F.col("pos") * (2 * lower + F.col("neg")).cast(wide)
+    pairs = per_score.join(ranges, "_range").withColumn("_won", won).agg(
         F.sum("_won").cast("double").alias("won"),
         F.sum("pos").cast("bigint").alias("n_pos"),
         F.sum("neg").cast("bigint").alias("n_neg"),
@@ -214,22 +221,27 @@ def confusion(
 def model_card(
     scored: DataFrame, version: str, weights: dict[str, float], auc: DataFrame, demo_txn
 ) -> DataFrame:
-    """One row: version, features, importances, AUC, and one transaction's score and values."""
+    """One row: version, features, importances, AUC, and one transaction's score and values.
+
+    Without that transaction its fields are null; the card has its row all the same.
+    """
     values = F.create_map(*[
         x for c in FEATURES for x in (F.lit(c), F.col(c).cast("double"))
     ])
-    shown = scored.where(F.col("txn_id") == F.lit(demo_txn)).select(
+    card = scored.sparkSession.range(1).select(
         F.lit(version).alias("model_version"),
         F.array(*[F.lit(c) for c in FEATURES]).alias("features"),
         F.create_map(*[
             x for k, v in weights.items() for x in (F.lit(k), F.lit(float(v)))
         ]).alias("feature_importances"),
+    )
+    shown = scored.where(F.col("txn_id") == F.lit(demo_txn)).select(
         F.col("txn_id").cast("string").alias("demo_txn_id"),
         F.col("account_id").cast("string").alias("demo_account_id"),
         F.col("risk_score").alias("demo_risk_score"),
         values.alias("demo_feature_values"),
     )
-    return shown.withColumn("roc_auc", auc.select("roc_auc").scalar()).select(
+    return card.join(shown, F.lit(True), "left").withColumn("roc_auc", auc.select("roc_auc").scalar()).select(
         *MODEL_CARD.fieldNames()
     )
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import MODEL_CARD
 
@@ -25,8 +27,9 @@ def write_gold(
         ).parquet(path)
     else:
         out.write.mode("overwrite").parquet(path)
-    if csv_path:
-        df.write.mode("overwrite").option("header", True).csv(csv_path)
+    if csv_path:  # copied from the stored table, so that gold is computed once
+        stored = df.sparkSession.read.schema(out.schema).parquet(path).select(*df.columns)
+        stored.write.mode("overwrite").option("header", True).csv(csv_path)
 
 
 def write_table(df: DataFrame, path: str | None = None, name: str | None = None) -> None:
@@ -55,11 +58,22 @@ def json_array(df: DataFrame, limit: int) -> DataFrame:
 
 
 def read_model_card(spark: SparkSession, path: str, defaults: DataFrame) -> DataFrame:
-    """The model card with each missing or unreadable field taken from ``defaults`` (one row)."""
-    card = (
-        spark.read.schema(MODEL_CARD).option("mode", "PERMISSIVE").json(path).limit(1)
-        .withColumn("_one", F.lit(1))
-    )
+    """The model card with each missing or unreadable field taken from ``defaults`` (one row).
+
+    The card may be one line or indented, one file or a folder; without a card
+    all fields are defaults. Of several cards the last by file name counts.
+    """
+    schema = T.StructType([*MODEL_CARD.fields, T.StructField("_corrupt_record", T.StringType())])
+    try:
+        files = spark.read.schema(schema).option("multiLine", True).json(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        files = spark.createDataFrame([], schema).withColumn("_file", F.lit(""))
+    else:
+        files = files.withColumn("_file", F.col("_metadata.file_path"))
+    card = files.orderBy(F.desc("_file"), F.to_json(F.struct(*MODEL_CARD.fieldNames()))).limit(1)
+    card = card.withColumn("_one", F.lit(1))
     base = defaults.select(F.lit(1).alias("_one"), F.struct(*defaults.columns).alias("_d"))
     return base.join(card, "_one", "left").select(*[
         F.coalesce(F.col(n), F.col(f"_d.{n}")).alias(n) for n in MODEL_CARD.fieldNames()
