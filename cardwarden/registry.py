@@ -745,7 +745,10 @@ def _(spark, sf_dir):
         tables.label_logins(logins, accts),
     )
     run.start(stream, f"{root}/data", f"{root}/checkpoint").awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{root}/data")
+    released, f = spark.read.schema(stream.schema).parquet(f"{root}/data"), load_feeds(spark, sf_dir)
+    return asof_stream.with_unreleased(
+        released, f.txn.select("txn_id", "account_id", "txn_ts"), f.auth
+    )
 
 
 @query("st6_velocity_stream")
@@ -753,7 +756,8 @@ def _(spark, sf_dir):
     root = scratch_path(spark, "velocity")
     stream = silver.velocity_stream(tables.txn_from(_event_stream(spark, sf_dir)))
     run.start(stream, f"{root}/data", f"{root}/checkpoint").awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{root}/data")
+    closed = spark.read.schema(stream.schema).parquet(f"{root}/data")
+    return silver.with_open_windows(closed, load_feeds(spark, sf_dir).txn)
 
 
 @query("st7_serving_upsert")

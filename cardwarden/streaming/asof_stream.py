@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from ..operators.asof import asof_join
+
 MAX_HOT_ACCOUNTS = 10_000
 _CARRIED = (T.StringType, T.NumericType, T.BooleanType)
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -27,6 +29,9 @@ def use_rocksdb(spark: SparkSession) -> None:
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+_NEVER = -(2**63)
+
+
 class LoginMatcher(StatefulProcessor):
     """Holds transactions until the watermark passes them, then matches the latest login.
 
@@ -74,7 +79,7 @@ class LoginMatcher(StatefulProcessor):
             state.clear()
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802
-        soonest = None
+        soonest, newest = None, _NEVER
         for batch in rows:
             is_txn = batch["is_txn"].astype(bool)
             txns = self._rows(batch[is_txn], self.txn_schema)
@@ -85,8 +90,12 @@ class LoginMatcher(StatefulProcessor):
                 soonest = first if soonest is None else min(soonest, first)
             if logins:
                 self.logins.appendList(logins)
+                newest = max(newest, *(e[0] for e in logins))
+        # A time that has passed already fires with the next watermark. Logins alone have a timer
+        # too, so an account that never buys keeps one login and those after the watermark.
+        if soonest is None and newest > _NEVER:
+            soonest = newest
         if soonest is not None:
-            # A time that has passed already fires with the next watermark.
             self.handle.registerTimer(
                 max(-(-soonest // 1000), timerValues.getCurrentWatermarkInMs() + 1)
             )
@@ -101,9 +110,12 @@ class LoginMatcher(StatefulProcessor):
         later = [t for t in txns if t[0] > passed]
         self._replace(self.waiting, later)
         # Keep the newest login the watermark has passed, and all after it.
-        self._replace(self.logins, logins[max(bisect_right(times, passed) - 1, 0):])
+        kept = logins[max(bisect_right(times, passed) - 1, 0):]
+        self._replace(self.logins, kept)
         if later:
             self.handle.registerTimer(-(-min(t[0] for t in later) // 1000))
+        elif len(kept) > 1:
+            self.handle.registerTimer(-(-kept[-1][0] // 1000))
         nothing = (None,) * len(self.login_schema.fields)
         out = []
         for t in txns:
@@ -117,9 +129,34 @@ class LoginMatcher(StatefulProcessor):
         pass
 
 
+LOGIN_COLUMNS = ("device_is_new", "failed_attempts_1h", "ato_label", "ip_geo")
+
+
+def with_unreleased(
+    released: DataFrame, txn: DataFrame, auth: DataFrame,
+    login_cols: Sequence[str] = LOGIN_COLUMNS,
+) -> DataFrame:
+    """What the stream has released, and all other transactions matched in a batch.
+
+    The others are those the watermark has not passed yet, those that came
+    behind it and were dropped, and those without an account or time: as many
+    rows come out as ``txn`` has. ``txn`` and ``auth`` are the stored feeds.
+    """
+    rest = txn.join(released.select("txn_id"), "txn_id", "left_anti")
+    logins = auth.select(
+        "account_id", "event_ts", F.col("event_ts").alias("last_auth_ts"),
+        F.col("event_id").alias("last_event_id"), *login_cols,
+    )
+    matched = asof_join(
+        rest, logins, "account_id", "txn_ts", "event_ts",
+        ["last_auth_ts", "last_event_id", *login_cols], "last_event_id",
+    )
+    return released.unionByName(matched.select(*released.columns))
+
+
 def fuse_stream(
     txn: DataFrame, auth: DataFrame, delay: str = "1 hour",
-    login_cols: Sequence[str] = ("device_is_new", "failed_attempts_1h", "ato_label", "ip_geo"),
+    login_cols: Sequence[str] = LOGIN_COLUMNS,
     hot: DataFrame | None = None,
 ) -> DataFrame:
     """Each transaction with its latest login at or before it, once the watermark has passed it.
@@ -127,8 +164,7 @@ def fuse_stream(
     Logins later than the watermark delay are too late to count. ``hot`` is a
     short static table (account_id, shares) of accounts too busy for one task:
     their transactions are dealt out over ``shares`` keys and their logins copied
-    to each. The biggest ``MAX_HOT_ACCOUNTS`` entries count, the rest run on one
-    key each. The table belongs to the checkpoint: keep it as it is over restarts.
+    to each. The table belongs to the checkpoint: keep it as it is over restarts.
     """
     txns = txn.where("account_id IS NOT NULL AND txn_ts IS NOT NULL").withWatermark("txn_ts", delay)
     logins = auth.where("account_id IS NOT NULL AND event_ts IS NOT NULL").withWatermark(
@@ -136,7 +172,8 @@ def fuse_stream(
     )
     share, shares = F.lit(0), F.array(F.lit(0))
     if hot is not None:
-        hot = hot.orderBy(F.desc("shares"), "account_id").limit(MAX_HOT_ACCOUNTS)
+        if hot.limit(MAX_HOT_ACCOUNTS + 1).count() > MAX_HOT_ACCOUNTS:
+            raise ValueError(f"hot may name at most {MAX_HOT_ACCOUNTS} accounts")
         txns = txns.join(F.broadcast(hot), "account_id", "left")
         logins = logins.join(F.broadcast(hot), "account_id", "left")
         count = F.coalesce(F.col("shares"), F.lit(1))

@@ -17,6 +17,15 @@ def silver_stream(raw: DataFrame, feed: str, metrics: str | None = None) -> Data
     return apply_rules(typed, RULES[feed])
 
 
+def with_open_windows(closed: DataFrame, txn: DataFrame, **spans: str) -> DataFrame:
+    """The windows a stream has closed, and the others counted over the stored feed."""
+    every = velocity_stream(txn, **spans)
+    same = (every["window_start"] == closed["window_start"]) & every["account_id"].eqNullSafe(
+        closed["account_id"]
+    )
+    return closed.unionByName(every.join(closed, same, "left_anti"))
+
+
 def velocity_stream(
     txn: DataFrame, delay: str = "1 hour", span: str = "1 hour", every: str = "15 minutes"
 ) -> DataFrame:
