@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from cardwarden.llm.frames import process_table
 
 LIMIT = 1024  # more tokens than this is over the limit
-KEPT_WORDS = 1_000_000  # words whose counts a Python process remembers
+KEPT_WORDS = 500_000  # words whose counts a Python process remembers
 _LONG = 1_000_000  # characters from which words are taken one at a time
 
 # Fixed: how byte-level vocabularies split a text into words.

@@ -30,7 +30,7 @@ from cardwarden.llm.frames import process_table, written
 
 CAPACITY = 4096
 END_ID = 1  # closes every document
-KEPT_WORDS = 700_000  # words whose ids a Python process remembers
+KEPT_WORDS = 250_000  # words whose ids a Python process remembers
 RANK_BUCKETS = 64
 
 # Fixed: how the vocabulary splits lower-cased text, for the characters of plain text (below).
