@@ -17,6 +17,7 @@ of the pieces is ranked in many tasks.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -40,6 +41,7 @@ WORDS = re.compile(r"[a-zß-öø-ÿ]+|'(?:s|t|re|ve|m|ll|d)|[0-9]|[^\x20\x09-\x0
 _OTHER = re.compile(r"[^\x00-\x7FÀ-ÖØ-öø-ÿ]|<\|")
 _SPACE = re.compile(r"[\x20\x09-\x0D]")
 _PART = 1 << 20  # characters taken at a time
+_TOGETHER = 1 << 18  # characters whose words are looked up together: they fit a core's cache
 _ASKED = 2000  # new words given to the tokenizer at a time
 
 
@@ -47,15 +49,31 @@ class Ids(dict):
     """word -> its ids as little-endian 32-bit numbers, from the tokenizer itself.
 
     The vocabulary splits text into words before any merge, so a text's ids are
-    its words' ids in order; new words are given to the tokenizer many at a time,
-    with a space between. What is not plain goes to the tokenizer as it stands,
-    in chunks between ASCII white space, which no word crosses.
+    its words' ids in order; new words are given to the tokenizer's merges many at
+    a time, with a space between. What is not plain goes to the whole tokenizer as
+    it stands, in chunks between ASCII white space, which no word crosses.
+
+    Words are kept in two generations: a full table becomes the older one, and a
+    word met again moves from there to the new one, so common words stay.
     """
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks fill the cores
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_file(path)
+        # The same merges, for words that are split and lower-cased already.
+        self.merges = Tokenizer(self.tokenizer.model)
+        self.merges.pre_tokenizer = Sequence(
+            [WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        # Which ids close a word, by the vocabulary's mark.
+        mark, tokens = self.tokenizer.model.end_of_word_suffix, self.tokenizer.get_vocab()
+        self.last = np.zeros(max(tokens.values(), default=0) + 1, dtype=bool)
+        if mark:
+            self.last[[n for token, n in tokens.items() if token.endswith(mark)]] = True
+        self.older: dict[str, bytes] = {}
 
     def of(self, texts: list[str]) -> list[bytes]:
         """All ids of each text."""
@@ -66,7 +84,7 @@ class Ids(dict):
             for part in _parts(text):
                 some.append((i, self._split(part)))
                 size += len(part)
-                if size >= _PART:
+                if size >= _TOGETHER:
                     self._join(some, out)
                     some, size = [], 0
         self._join(some, out)
@@ -81,25 +99,29 @@ class Ids(dict):
         return found
 
     def _join(self, some: list[tuple[int, list[str]]], out: list[bytes]) -> None:
-        found = [list(map(self.get, words)) for _, words in some]
-        lack = [k for k, codes in enumerate(found) if None in codes]
-        self._learn({w for k in lack for w, code in zip(some[k][1], found[k]) if code is None})
-        for k in lack:
-            found[k] = list(map(self.__getitem__, some[k][1]))
-        for (i, _), codes in zip(some, found):
-            out[i] += b"".join(codes)
-        if len(self) >= KEPT_WORDS:
+        new = set().union(*(words for _, words in some)).difference(self)
+        again = list(filter(self.older.__contains__, new))
+        self.update(zip(again, map(self.older.__getitem__, again)))
+        self._learn(new.difference(again))
+        for i, words in some:
+            out[i] += b"".join(map(self.__getitem__, words))
+        if len(self) >= KEPT_WORDS // 2:
+            self.older = dict(self)
             self.clear()
 
     def _learn(self, new: set[str]) -> None:
         plain = [w for w in new if _plain(w)]
         for at in range(0, len(plain), _ASKED):
             asked = plain[at : at + _ASKED]
-            code = self.tokenizer.encode(" ".join(asked), add_special_tokens=False)
+            (code,) = self.merges.encode_batch_fast([" ".join(asked)], add_special_tokens=False)
             ids = np.array(code.ids, dtype="<u4")
-            ends = np.searchsorted(np.array(code.word_ids), np.arange(len(asked)), side="right")
-            for word, lo, hi in zip(asked, [0, *ends], ends):
-                self[word] = ids[lo:hi].tobytes()
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) != len(asked):  # no mark of a word's end to go by
+                code = self.merges.encode(" ".join(asked), add_special_tokens=False)
+                ids = np.array(code.ids, dtype="<u4")
+                ends = np.searchsorted(np.array(code.word_ids), np.arange(len(asked)), side="right")
+            data, ends = ids.tobytes(), (ends * 4).tolist()
+            self.update(zip(asked, [data[lo:hi] for lo, hi in zip([0, *ends], ends)]))
         for word in new.difference(plain):
             ids = self.tokenizer.encode(word, add_special_tokens=False).ids
             self[word] = np.array(ids, dtype="<u4").tobytes()
