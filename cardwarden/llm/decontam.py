@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -70,8 +71,8 @@ class Seeds:
 
     def coded_text(self, words: list[str]) -> np.ndarray:
         """Each word's number; -1 for words that no item has."""
-        get = self.number.get
-        return np.fromiter((get(w, -1) for w in words), dtype=np.int64, count=len(words))
+        numbers = map(self.number.get, words, repeat(-1))
+        return np.fromiter(numbers, dtype=np.int64, count=len(words))
 
     def hits(self, coded: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Seeds that occur in a text: (place, seed's number)."""
@@ -142,6 +143,14 @@ def _parts(text: str, overlap: int) -> Iterator[tuple[int, list[str]]]:
 def _scan(seeds: Seeds, rare: np.ndarray, threshold: float):
     """(doc_id, th, text) -> every item that aligns with the text at ``threshold`` or more."""
     longest = max((len(i) for i in seeds.items), default=0)
+    present = np.zeros(len(seeds.number) + 1, dtype=bool)  # the last is for words of no item
+
+    def reaches(item: np.ndarray, window: np.ndarray) -> bool:
+        """Whether the item's words that are in the window at all could give the threshold."""
+        present[window] = True
+        share = np.count_nonzero(present[item]) / len(item)
+        present[window] = False
+        return share >= threshold
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -159,6 +168,8 @@ def _scan(seeds: Seeds, rare: np.ndarray, threshold: float):
                     for item, starts in windows.items():
                         size = len(seeds.coded[item])
                         for lo, hi in _windows(starts, size, len(coded)):
+                            if not reaches(seeds.coded[item], coded[lo:hi]):
+                                continue
                             score, a, b = align(seeds.coded[item], coded[lo:hi])
                             share = score / (MATCH * size)
                             if share >= threshold and share > best.get(item, (0.0,))[0]:
