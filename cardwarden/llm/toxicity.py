@@ -10,7 +10,9 @@ divided by a measure of its length, and a two-number logistic curve, fitted on
 the labelled rows, turns that into a score.
 
 Document counts of words and beginnings are aggregated by Spark over a bounded
-sample of labelled rows; the lexicon is bounded too, so it can travel.
+sample of labelled rows; the lexicon is bounded too, so it can travel. The sample
+has both labels in equal numbers on large tables; in the curve each label weighs
+as often as it occurs in all labelled rows, so that scores mean the same at any size.
 """
 
 from __future__ import annotations
@@ -130,7 +132,11 @@ class Lexicon:
 
 
 def sample_of(docs: DataFrame, labels: DataFrame, learnable: Column, size: int) -> DataFrame:
-    """(doc_id, th, text, toxic): at most ``size`` labelled rows, both labels in turn."""
+    """(doc_id, th, text, toxic, weight): at most ``size`` labelled rows, both labels in turn.
+
+    ``weight`` is how many labelled rows a row of its label stands for: 1 as long
+    as the sample is all of them.
+    """
     known = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
         .where("toxic IN (0, 1)")
@@ -147,7 +153,15 @@ def sample_of(docs: DataFrame, labels: DataFrame, learnable: Column, size: int)
         .limit(size)
         .select("doc_id", "toxic")
     )
-    return texts(docs).join(F.broadcast(written(picked)), "doc_id")  # at most ``size`` rows
+    picked = written(picked)
+    every, taken = (
+        {r.toxic: r.n for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}  # two labels
+        for rows in (known, picked)
+    )
+    weight = F.when(F.col("toxic") == 1, F.lit(every.get(1, 0) / taken.get(1, 1))).otherwise(
+        F.lit(every.get(0, 0) / taken.get(0, 1))
+    )
+    return texts(docs).join(F.broadcast(picked.withColumn("weight", weight)), "doc_id")  # at most ``size`` rows
 
 
 def fit(docs: DataFrame, labels: DataFrame, learnable: Column, sample: int = SAMPLE) -> Lexicon:
@@ -290,25 +304,32 @@ def _exceptions(rows: DataFrame, lexicon: Lexicon) -> list[str]:
 
 
 def _curve(rows: DataFrame, lexicon: Lexicon) -> None:
-    """Fits slope and shift of the logistic curve, both labels weighing as they occur."""
+    """Fits slope and shift of the logistic curve, both labels weighing as they occur in all labelled rows."""
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = lexicon.automaton()
         for batch in batches:
             found = [lexicon.feature(t.as_py(), automaton) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(found, pa.float64()), batch.column("toxic")], ["x", "toxic"]
+                [pa.array(found, pa.float64()), batch.column("toxic"), batch.column("weight")],
+                ["x", "toxic", "weight"],
             )
 
-    found = rows.select("text", "toxic").mapInArrow(features, "x double, toxic int").collect()
+    found = (
+        rows.select("text", "toxic", "weight")
+        .mapInArrow(features, "x double, toxic int, weight double")
+        .collect()
+    )
+    weight = np.array([r.weight for r in found])
+    weight *= len(weight) / weight.sum()  # the penalty stays as small for any table
     x, y = np.array([r.x for r in found]), np.array([r.toxic for r in found], dtype=float)
     w = np.zeros(2)
     design = np.stack([x, np.ones_like(x)], axis=1)
     penalty = np.array([1e-3, 1e-3])  # keeps a perfect split from running away
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(design @ w, -30, 30)))
-        slope = design.T @ (p - y) + penalty * w
-        bend = (design * (p * (1 - p))[:, None]).T @ design + np.diag(penalty)
+        slope = design.T @ (weight * (p - y)) + penalty * w
+        bend = (design * (weight * p * (1 - p))[:, None]).T @ design + np.diag(penalty)
         step = np.linalg.solve(bend, slope)
         w -= np.clip(step, -5, 5)
         if np.abs(step).max() < 1e-8:

@@ -2,6 +2,8 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 from cardwarden.llm import langid, toxicity
 from tests_llm_frames import awkward, empty
 
@@ -77,6 +79,27 @@ def test_toxic_texts_are_found_and_clean_ones_left(spark):
     assert any("kindly" in e for e in lexicon.exceptions)
 
 
+def test_scores_do_not_rise_with_a_sample_of_equal_labels(spark):
+    rng = random.Random(3)
+    rows = []
+    for i in range(900):
+        toxic = i % 9 == 0
+        words = ["".join(rng.choices(SYLLABLES["aa"], k=rng.randrange(1, 4))) for _ in range(30)]
+        if rng.random() < (0.8 if toxic else 0.06):
+            words[5] = "blorgh"
+        rows.append((i, " ".join(words), int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    every, some = (
+        toxicity.fit(docs, docs, F.lit(True), size) for size in (toxicity.SAMPLE, 120)
+    )  # 120 are 60 of each label
+    assert any(e.startswith(" blor") for e in some.weights)
+    means = [
+        toxicity.scores(docs, lexicon).agg(F.avg("score")).first()[0] for lexicon in (every, some)
+    ]
+    assert abs(means[0] - 1 / 9) < 0.01
+    assert abs(means[1] - 1 / 9) < 0.05
+
+
 def test_folding():
     assert toxicity.fold("IDI0T, sc​um  cl0wn 2024") == " idiot scum clown "
     assert toxicity.fold("іdiоt") == " idiot "  # two letters are Cyrillic
