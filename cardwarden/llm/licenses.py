@@ -6,6 +6,10 @@ both sides is kept, and the gaps between them are aligned in the same way, after
 their common beginning and end. Coverage is the share of the template's words
 that found their partner.
 
+Licenses of one family share most of their words, so coverage alone does not tell
+them apart: a template counts only where the text also says its name, version or
+clause, and not what sets a sibling apart (``NAMED``, ``BARRED``).
+
 A template is only aligned with stretches of a text that hold enough of its words
 to reach the wanted coverage; that test drops nothing that could reach it. Texts
 stay where they are, the templates are a fixed table.
@@ -16,7 +20,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -25,6 +29,46 @@ from cardwarden.llm.frames import texts
 
 COVERAGE = 0.8
 
+# Texts that licenses of one family share.
+_ISC = (
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or "
+    'without fee is hereby granted{}. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL '
+    "WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY "
+    "AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR "
+    "CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, "
+    "WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN "
+    "CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
+)
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted "
+    "provided that the following conditions are met: 1. Redistributions of source code must retain "
+    "the above copyright notice, this list of conditions and the following disclaimer. {} "
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR '
+    "IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND "
+    "FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR "
+    "CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL "
+    "DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, "
+    "DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER "
+    "IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT "
+    "OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+_BINARY = (
+    "2. Redistributions in binary form must reproduce the above copyright notice, this list of "
+    "conditions and the following disclaimer in the documentation and/or other materials provided "
+    "with the distribution."
+)
+_ENDORSE = (
+    "Neither the name of the copyright holder nor the names of its contributors may be used to endorse "
+    "or promote products derived from this software without specific prior written permission."
+)
+_GNU = (
+    "This program is free software: you can redistribute it and/or modify it under the terms of the "
+    "GNU {0} as published by the Free Software Foundation, either version {1} of "
+    "the License, or (at your option) any later version. This program is distributed in the hope "
+    "that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
+    "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {0} for more details."
+)
+
 # Published license notices and texts, by SPDX identifier and form.
 TEMPLATES = {
     "Apache-2.0/line": "Licensed under the Apache License, Version 2.0.",
@@ -51,30 +95,29 @@ TEMPLATES = {
         "OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER "
         "DEALINGS IN THE SOFTWARE."
     ),
-    "ISC/text": (
-        "Permission to use, copy, modify, and/or distribute this software for any purpose with or "
-        "without fee is hereby granted, provided that the above copyright notice and this permission "
-        'notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL '
-        "WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY "
-        "AND FITNESS."
+    "MIT-0/line": "Released under the MIT No Attribution License.",
+    "ISC/line": "Released under the ISC License.",
+    "ISC/text": _ISC.format(
+        ", provided that the above copyright notice and this permission notice appear in all copies"
     ),
-    "BSD-2-Clause/text": (
-        "Redistribution and use in source and binary forms, with or without modification, are permitted "
-        "provided that the following conditions are met: 1. Redistributions of source code must retain "
-        "the above copyright notice, this list of conditions and the following disclaimer. 2. "
-        "Redistributions in binary form must reproduce the above copyright notice, this list of "
-        "conditions and the following disclaimer in the documentation and/or other materials provided "
-        "with the distribution."
+    "0BSD/text": _ISC.format(""),
+    "BSD-1-Clause/text": _BSD.format(""),
+    "BSD-2-Clause/line": "Released under the 2-Clause BSD License.",
+    "BSD-2-Clause/text": _BSD.format(_BINARY),
+    "BSD-3-Clause/line": "Released under the 3-Clause BSD License.",
+    "BSD-3-Clause/text": _BSD.format(f"{_BINARY} 3. {_ENDORSE}"),
+    "BSD-4-Clause/text": _BSD.format(
+        f"{_BINARY} 3. All advertising materials mentioning features or use of this software must display "
+        "the following acknowledgement: This product includes software developed by the organization. "
+        f"4. {_ENDORSE}"
     ),
+    "LicenseRef-BSD/line": "Released under the BSD License.",  # does not say which one
+    "Apache-1.1/line": "Licensed under the Apache License, Version 1.1.",
+    "BSL-1.0/line": "Distributed under the Boost Software License, Version 1.0.",
+    "EPL-1.0/line": "Licensed under the Eclipse Public License, Version 1.0.",
+    "EPL-2.0/line": "Licensed under the Eclipse Public License, Version 2.0.",
+    "CC0-1.0/line": "Released under CC0 1.0 Universal.",
     "GPL-3.0/line": "This work is licensed under the GNU General Public License, version 3.",
-    "GPL-3.0/header": (
-        "This program is free software: you can redistribute it and/or modify it under the terms of the "
-        "GNU General Public License as published by the Free Software Foundation, either version 3 of "
-        "the License, or (at your option) any later version. This program is distributed in the hope "
-        "that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
-        "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for "
-        "more details."
-    ),
     "MPL-2.0/header": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy "
         "of the MPL was not distributed with this file, You can obtain one at "
@@ -85,12 +128,114 @@ TEMPLATES = {
     "Unlicense/text": (
         "This is free and unencumbered software released into the public domain. Anyone is free to "
         "copy, modify, publish, use, compile, sell, or distribute this software, either in source code "
-        "form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."
+        "form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means. "
+        "In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any "
+        "and all copyright interest in the software to the public domain. We make this dedication for the "
+        "benefit of the public at large and to the detriment of our heirs and successors. We intend this "
+        "dedication to be an overt act of relinquishment in perpetuity of all present and future rights to "
+        'this software under copyright law. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, '
+        "EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A "
+        "PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, "
+        "DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT "
+        "OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
     ),
 }
+TEMPLATES["MIT-0/text"] = re.sub(
+    ", subject to the following conditions:.*?portions of the Software", "", TEMPLATES["MIT/text"]
+)
+
+# What a text must say for a template to count, and what it must not say. Coverage alone cannot
+# tell licenses of one wording apart. Each phrase stands word for word; "|" parts other ways to say it.
+NAMED: dict[str, tuple[str, ...]] = {
+    "Apache-2.0/line": ("apache license", "version 2|v2|v 2|2 0"),
+    "Apache-2.0/header": ("apache license", "version 2|v2|v 2|2 0"),
+    "Apache-1.1/line": ("apache license", "1 1"),
+    "MIT/line": ("mit license",),
+    "MIT/text": ("subject to the following|included in all|substantial portions|permission notice",),
+    "MIT-0/line": ("mit no attribution|mit 0",),
+    "ISC/line": ("isc license",),
+    "ISC/text": ("provided that|copyright notice|permission notice|appear in all",),
+    "BSD-2-Clause/line": ("2 clause bsd|two clause bsd|bsd 2 clause|simplified bsd|freebsd",),
+    "BSD-2-Clause/text": ("in binary form",),
+    "BSD-3-Clause/line": ("3 clause bsd|three clause bsd|bsd 3 clause|new bsd|modified bsd|revised bsd",),
+    "BSD-3-Clause/text": ("in binary form", "endorse|promote"),
+    "BSD-4-Clause/text": ("in binary form", "advertising materials"),
+    "LicenseRef-BSD/line": ("the bsd license|a bsd license|bsd style license",),
+    "BSL-1.0/line": ("boost software license", "1 0"),
+    "EPL-1.0/line": ("eclipse public license", "1 0"),
+    "EPL-2.0/line": ("eclipse public license", "2 0"),
+    "CC0-1.0/line": ("cc0",),
+    "MPL-2.0/header": ("mozilla public license", "2 0"),
+    "Unlicense/text": ("unencumbered|public domain",),
+}
+BARRED: dict[str, str] = {
+    "MIT/text": "except as contained in this notice",
+    "MIT-0/text": "subject to the following|included in all|substantial portions|permission notice",
+    "ISC/text": "supporting documentation",
+    "0BSD/text": "copyright notice|permission notice|appear in all",
+    "BSD-1-Clause/text": "in binary form",
+    "BSD-2-Clause/text": "endorse|promote|advertising materials",
+    "BSD-3-Clause/text": "advertising materials",
+}
+GAP = 4  # words more than in the template that may lie between two phrases
+AFTER = 12  # words behind a match that must not hold a barred phrase
+
+
+def _families() -> None:
+    """Adds the GNU licenses, Creative Commons and SPDX tags, which differ by name and version only."""
+    versions = {"1": "version 1|v1|v 1|1 0", "2": "version 2|v2|v 2|2 0", "3": "version 3|v3|v 3|3 0"}
+    versions["2.1"] = "version 2 1|v2 1|v 2 1|2 1"
+    for kind, name, version in (
+        ("GPL-1.0", "General Public License", "1"),
+        ("GPL-2.0", "General Public License", "2"),
+        ("GPL-3.0", "General Public License", "3"),
+        ("LGPL-2.0", "Library General Public License", "2"),
+        ("LGPL-2.1", "Lesser General Public License", "2.1"),
+        ("LGPL-3.0", "Lesser General Public License", "3"),
+        ("AGPL-3.0", "Affero General Public License", "3"),
+    ):
+        line = f"This work is licensed under the GNU {name}, version {version}."
+        for form, text in (("line", line), ("header", _GNU.format(name, version))):
+            TEMPLATES[f"{kind}/{form}"] = text
+            NAMED[f"{kind}/{form}"] = (f"gnu {name.lower()}", versions[version])
+
+    names = {"BY": "Attribution", "NC": "NonCommercial", "SA": "ShareAlike", "ND": "NoDerivatives"}
+    apart = {
+        "noncommercial": "non commercial", "sharealike": "share alike", "noderivatives": "noderivs",
+        "noderivs": "no derivatives",
+    }
+    for code in ("BY", "BY-SA", "BY-ND", "BY-NC", "BY-NC-SA", "BY-NC-ND"):
+        for version, place in (("4.0", "International"), ("3.0", "Unported"), ("2.5", "Generic"), ("2.0", "Generic")):
+            kind = f"CC-{code}-{version}"
+            long = "-".join(names[c] for c in code.split("-"))
+            short_form, long_form = "short line", "long line"
+            if kind == "CC-BY-NC-4.0":
+                short_form = "line"
+            elif kind == "CC-BY-4.0":
+                long_form = "line"
+            TEMPLATES[f"{kind}/{short_form}"] = f"Licensed under CC {code} {version}."
+            TEMPLATES[f"{kind}/{long_form}"] = (
+                f"This work is licensed under a Creative Commons {long} {version} {place} License."
+            )
+            said = [long.lower().replace("-", " ")]
+            for one, other in apart.items():
+                said += [t.replace(one, other) for t in said if one in t]
+            number = version.replace(".", " ")
+            NAMED[f"{kind}/{long_form}"] = ("|".join(f"{t} {v}{number}" for t in said for v in ("", "version ", "v")),)
+            letters = f"cc {code.lower().replace('-', ' ')}"
+            NAMED[f"{kind}/{short_form}"] = ("|".join(f"{letters} {v}{number}" for v in ("", "version ", "v")),)
+
+    tag = "SPDX-License-Identifier"
+    for kind in sorted({name.partition("/")[0] for name in TEMPLATES if not name.startswith("LicenseRef")}):
+        TEMPLATES[f"{kind}/tag"] = f"{tag}: {kind}"
+        NAMED[f"{kind}/tag"] = ("spdx license identifier", " ".join(_WORD.findall(kind.lower())))
+    BARRED["MIT/tag"] = "mit 0"
+    BARRED["BSD-2-Clause/tag"] = "2 clause patent|2 clause views"
+    BARRED["BSD-3-Clause/tag"] = "3 clause clear|3 clause attribution|3 clause lbnl|3 clause no"
 
 _WORD = re.compile(r"\w+")
 _PART = 1 << 20
+_families()
 
 
 def words_of(text: str) -> list[str]:
@@ -149,12 +294,58 @@ def _in_order(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
+def _ways(phrase: str) -> list[list[str]]:
+    return [way.split() for way in phrase.split("|")]
+
+
+def _spans(words: list[str], ways: Iterable[list[str]]) -> list[tuple[int, int]]:
+    """(first word, last word + 1) wherever one of the ways stands word for word."""
+    return [
+        (at, at + len(way))
+        for way in ways
+        for at, w in enumerate(words)
+        if w == way[0] and words[at : at + len(way)] == way
+    ]
+
+
+def _gap(a: tuple[int, int], b: tuple[int, int]) -> int:
+    return max(b[0] - a[1], a[0] - b[1], 0)
+
+
 class Templates:
-    def __init__(self, templates: dict[str, str], coverage: float):
+    def __init__(
+        self,
+        templates: dict[str, str],
+        coverage: float,
+        named: dict[str, tuple[str, ...]] | None = None,
+        barred: dict[str, str] | None = None,
+    ):
         self.coverage = coverage
+        self.named = {name: [_ways(p) for p in phrases] for name, phrases in (named or {}).items()}
+        self.barred = {name: _ways(p) for name, p in (barred or {}).items()}
         self.words = {name: words_of(t) for name, t in templates.items() if words_of(t)}
         self.counts = {name: Counter(w) for name, w in self.words.items()}
         self.every = {w for words in self.words.values() for w in words}
+        self.every |= {w for phrases in self.named.values() for ways in phrases for way in ways for w in way}
+        # Words that every way of saying a template's phrases has.
+        self.sure = {
+            name: frozenset().union(*(set.intersection(*map(set, ways)) for ways in self.named.get(name, ())))
+            for name in self.words
+        }
+        self.gaps = {name: GAP + self._apart(name) for name in self.words}
+
+    def _apart(self, name: str) -> int:
+        """The most words that lie between the first phrase of a template and another one."""
+        words, phrases = self.words[name], self.named.get(name, [])
+        first, *others = [_spans(words, ways) for ways in phrases] or [[]]
+        return max((min((_gap(a, b) for a in first for b in spans), default=0) for spans in others), default=0)
+
+    def says(self, name: str, words: list[str]) -> bool:
+        """Whether the words hold what names a template: its phrases, near the first of them."""
+        first, *others = [_spans(words, ways) for ways in self.named.get(name, [])] or [[(0, 0)]]
+        return any(
+            all(any(_gap(a, b) <= self.gaps[name] for b in spans) for spans in others) for a in first
+        )
 
     def found(self, words: list[str]) -> list[tuple[str, float, int, int]]:
         """(template, coverage, first word, last word + 1) of each best match in a list of words."""
@@ -164,6 +355,8 @@ class Templates:
                 places.setdefault(w, []).append(at)
         out = []
         for name, template in self.words.items():
+            if not self.sure[name] <= places.keys():
+                continue
             count, need = self.counts[name], self.coverage * len(template)
             if sum(min(n, len(places.get(w, ()))) for w, n in count.items()) < need:
                 continue
@@ -171,8 +364,13 @@ class Templates:
             for lo, hi in self._stretches(places, count, len(template), need, len(words)):
                 pairs = matched(words[lo:hi], template)
                 share = len(pairs) / len(template)
-                if pairs and share >= self.coverage and share > best[0]:
-                    best = (share, lo + pairs[0][0], lo + pairs[-1][0] + 1)
+                if not pairs or share < self.coverage or share <= best[0]:
+                    continue
+                start, stop = lo + pairs[0][0], lo + pairs[-1][0] + 1
+                if _spans(words[start : stop + AFTER], self.barred.get(name, ())):
+                    continue
+                if self.says(name, words[lo : hi + AFTER]):
+                    best = (share, start, stop)
             if best[0]:
                 out.append((name, *best))
         return out
@@ -236,16 +434,17 @@ def licenses(
     """(doc_id, th, license, form, coverage, first_word, last_word) for every template a text holds.
 
     A text holds a template when some stretch of it covers at least ``coverage``
-    of the template's words; the best stretch is reported, the first among
+    of the template's words and names it; the best stretch is reported, the first among
     equals. Null, empty and wordless texts hold none. Repeated rows are reported
     each; a null doc_id stays null; an empty table gives no rows; further columns
     are ignored. ``first_word`` and ``last_word`` count the text's words from 0;
     ``last_word`` is one past the end.
     """
     known = TEMPLATES if templates is None else templates
+    rules = (NAMED, BARRED) if templates is None else ()
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = Templates(known, coverage)
+        table = Templates(known, coverage, *rules)
         overlap = 4 * max((len(w) for w in table.words.values()), default=0) + 8
         for batch in batches:
             out = []

@@ -89,6 +89,32 @@ def test_licenses_whole_and_edited(spark):
     assert licenses.licenses(empty(spark)).count() == 0
 
 
+def test_neighbouring_licenses_are_told_apart(spark):
+    text = licenses.TEMPLATES
+    lines = [
+        ("Released under the BSD License.", {"LicenseRef-BSD"}),
+        ("It was released under the license.", set()),
+        ("Licensed under CC BY 4.0.", {"CC-BY-4.0"}),
+        ("Licensed under CC BY-NC 4.0.", {"CC-BY-NC-4.0"}),
+        ("This work is licensed under the GNU General Public License, version 2.", {"GPL-2.0"}),
+        ("This work is licensed under version 3 of the GNU General Public License.", {"GPL-3.0"}),
+        ("This work is licensed under the GNU Lesser General Public License, version 3.", {"LGPL-3.0"}),
+        ("This work is licensed under the GNU General Public License, version 2. This work is licensed "
+         "under the GNU Lesser General Public License, version 3.", {"GPL-2.0", "LGPL-3.0"}),
+        ("// SPDX-License-Identifier: AGPL-3.0-or-later", {"AGPL-3.0"}),
+        ("// SPDX-License-Identifier: Apache-2.0 OR MIT", {"Apache-2.0", "MIT"}),
+        ("// SPDX-License-Identifier: MIT-0", {"MIT-0"}),
+    ]
+    lines += [(f"code\n{t} and more code", {name.partition("/")[0]}) for name, t in text.items()]
+    rows = [(i, line, None) for i, (line, _) in enumerate(lines)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = {i: set() for i in range(len(lines))}
+    for r in licenses.licenses(docs).collect():
+        found[r.doc_id].add(r.license)
+    wrong = {lines[i][0][:90]: kinds for i, kinds in found.items() if kinds != lines[i][1]}
+    assert not wrong
+
+
 def vectors(spark, n=900, hot=60):
     rng = np.random.default_rng(3)
     centres = rng.normal(size=(12, 16))
