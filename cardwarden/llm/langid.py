@@ -7,7 +7,9 @@ are learned from a bounded sample of labelled rows by follow-the-regularised-
 leader (per-coordinate steps, L1 for sparsity, L2 for size): a fixed number of
 shards learn side by side and their states are averaged after every epoch. A
 part of the sample is left out of that and sets the temperature, a single number
-that scales the logits so that the scores are probabilities one can trust.
+that scales the logits so that the scores are probabilities one can trust. The
+sample of a large table has languages more evenly than the table; what it has too
+much of a language is taken off its logit, so that scores mean the same at any size.
 
 The model has ``BUCKETS`` x languages numbers, and the languages are at most the
 sample's rows, so what travels to the executors is bounded.
@@ -66,6 +68,7 @@ class Model:
     weights: np.ndarray
     idf: np.ndarray
     temperature: float
+    shift: np.ndarray | float = 0.0  # log of how many rows a sampled row of each language stands for
 
     def features(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         index, count = grams(text, len(self.idf))
@@ -76,7 +79,7 @@ class Model:
         if not self.languages or not _LETTER.search(text):
             return UNKNOWN, 0.0
         index, value = self.features(text)
-        share = _softmax(value @ self.weights[index] / self.temperature)
+        share = _softmax(value @ self.weights[index] / self.temperature + self.shift)
         best = int(share.argmax())  # ties go to the first language in order
         return self.languages[best], float(share[best])
 
@@ -166,19 +169,26 @@ def fit(
 
     order = F.xxhash64("doc_id")
     turn = Window.partitionBy("lang").orderBy(order, "doc_id")
+    known = written(usable.select(F.col("doc_id").cast("long").alias("doc_id"), "lang").distinct())
     picked = (
-        usable.select(F.col("doc_id").cast("long").alias("doc_id"), "lang")
-        .distinct()
-        .withColumn("turn", F.row_number().over(turn))
+        known.withColumn("turn", F.row_number().over(turn))
         .where(F.col("turn") <= sample)
         .orderBy("turn", order, "lang")
         .limit(sample)
         .select("doc_id", "lang", (F.pmod(order, F.lit(SHARDS + 1))).alias("shard"))
     )
     picked = written(picked)
-    languages = sorted(r[0] for r in picked.select("lang").distinct().collect())  # <= sample
+    taken = dict(picked.groupBy("lang").agg(F.count("*")).collect())  # <= sample
+    languages = sorted(taken)
     if not languages:
         return Model([], np.zeros((buckets, 0)), idf, 1.0)
+    every = dict(
+        known.groupBy("lang")
+        .agg(F.count("*"))
+        .join(F.broadcast(picked.select("lang").distinct()), "lang")
+        .collect()  # <= sample
+    )
+    shift = np.log([every[lang] / taken[lang] for lang in languages])
     number = {lang: i for i, lang in enumerate(languages)}
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,19 +246,24 @@ def fit(
         .mapInArrow(logits, "logits array<double>, label int")
         .collect()  # at most ``sample`` rows
     )
-    return Model(languages, weights, idf, _temperature(held))
+    return Model(languages, weights, idf, _temperature(held, shift), shift)
+
 
+def _temperature(held: list, shift: np.ndarray) -> float:
+    """What the logits are divided by so that left-out labels are likeliest (golden section).
 
-def _temperature(held: list) -> float:
-    """What the logits are divided by so that left-out labels are likeliest (golden section)."""
+    A row weighs as many rows as it stands for.
+    """
     if not held:
         return 1.0
     logits = np.array([r.logits for r in held])
     labels = np.array([r.label for r in held])
 
+    weight = np.exp(shift)[labels]
+
     def loss(log_t: float) -> float:
-        share = _softmax(logits / np.exp(log_t))
-        return -np.log(np.maximum(share[np.arange(len(labels)), labels], 1e-300)).mean()
+        share = _softmax(logits / np.exp(log_t) + shift)
+        return -np.average(np.log(np.maximum(share[np.arange(len(labels)), labels], 1e-300)), weights=weight)
 
     lo, hi, ratio = np.log(0.02), np.log(20.0), (np.sqrt(5) - 1) / 2
     for _ in range(40):

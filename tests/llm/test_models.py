@@ -37,6 +37,21 @@ def test_languages_of_held_out_texts(spark):
     assert all(0 <= r.score <= 1 for r in found)
 
 
+def test_probabilities_do_not_follow_the_shares_of_the_sample(spark):
+    rng = random.Random(4)
+    rows = []
+    for i in range(1800):
+        lang = "aa" if i % 6 else "bb"
+        pool = ["mu", "no", "mono"] if rng.random() < 0.5 else SYLLABLES[lang]
+        rows.append((i, " ".join(rng.choices(pool, k=12)), lang))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    either = " ".join(["mu no mono"] * 4)  # five in six such texts are aa
+    for sample in (langid.SAMPLE, 500):  # 500 are 250 of each language
+        model = langid.fit(docs, F.lit(True), sample=sample)
+        lang, score = model.predict(either)
+        assert lang == "aa" and abs(score - 5 / 6) < 0.1
+
+
 def test_awkward_texts_get_a_defined_language(spark):
     docs, _ = corpus(spark)
     model = langid.fit(docs, langid.not_held_out())
