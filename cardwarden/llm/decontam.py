@@ -7,6 +7,11 @@ its item's phrases: an item that leaked into very many texts, whole or edited,
 keeps its seeds. A second pass joins texts to items over the seeds they share; around each shared seed the text is aligned with the item, word
 by word, and the best local alignment, as a share of a perfect one, is the score.
 
+Dense edits leave no phrase whole, so pairs of words that follow each other in an
+item are seeds as well, next to each other in the text or with one word between. An
+alignment that reaches the threshold has many of them close together (``_enough``),
+whatever the edits; only such places are aligned, however common the pairs are.
+
 Items are taken in blocks whose seeds have a bounded size and travel to the
 texts; texts never move.
 """
@@ -25,6 +30,7 @@ from pyspark.sql import functions as F
 from cardwarden.llm.frames import keyed_rows, same_row, texts
 
 SEED_WORDS = 3
+SHORT_ITEM = 6  # an item with fewer words is only found by its phrases
 THRESHOLD = 0.5  # share of a perfect alignment from which a text counts as contaminated
 MATCH, MISMATCH, GAP = 2, -1, -1
 COMMON_SHARE, COMMON_TIMES = 0.01, 20
@@ -63,6 +69,17 @@ class Seeds:
             own.sort()
             self.codes[size] = (np.array([c for c, _ in own]), np.array([k for _, k in own]))
 
+        pairs = [
+            (self._code((a, b)), i, at)
+            for i, words in enumerate(self.coded)
+            if len(words) >= SHORT_ITEM
+            for at, (a, b) in enumerate(zip(words.tolist(), words[1:].tolist()))
+        ]
+        table_of_pairs = np.array(sorted(pairs), dtype=np.int64).reshape(-1, 3)
+        self.pair_codes, first = np.unique(table_of_pairs[:, 0], return_index=True)
+        self.pair_first = np.append(first, len(pairs))
+        self.pair_item, self.pair_at = table_of_pairs[:, 1], table_of_pairs[:, 2]
+
     def _code(self, gram: tuple) -> int:
         code = 0
         for w in gram:
@@ -98,6 +115,56 @@ class Seeds:
         return np.concatenate(places), np.concatenate(found)
 
 
+    def crowded(
+        self, coded: np.ndarray, enough: np.ndarray, span: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Where ``enough`` pairs of an item lie within ``span`` words: (item, where it would begin)."""
+        items, places, ats = [], [], []
+        for step in (1, 2):
+            left, right = coded[:-step], coded[step:]
+            at = np.flatnonzero((left >= 0) & (right >= 0))
+            if not len(at) or not len(self.pair_codes):
+                continue
+            code = left[at] * (len(self.number) + 1) + right[at]
+            spot = np.minimum(np.searchsorted(self.pair_codes, code), len(self.pair_codes) - 1)
+            same = self.pair_codes[spot] == code
+            at, spot = at[same], spot[same]
+            n = self.pair_first[spot + 1] - self.pair_first[spot]
+            rows = np.repeat(self.pair_first[spot] - np.cumsum(n) + n, n) + np.arange(n.sum())
+            items.append(self.pair_item[rows])
+            places.append(np.repeat(at, n))
+            ats.append(self.pair_at[rows])
+        if not items:
+            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        item, place, at = (np.concatenate(c) for c in (items, places, ats))
+        many = (np.bincount(item, minlength=len(enough)) >= enough)[item]
+        item, place, at = item[many], place[many], at[many]
+        order = np.lexsort((place, item))
+        item, place, at = item[order], place[order], at[order]
+        first = np.arange(len(item))
+        last = first + enough[item] - 1
+        inside = last < len(item)
+        first, last = first[inside], last[inside]
+        near = (item[first] == item[last]) & (place[last] - place[first] < span[item[first]])
+        edges = np.zeros(len(item) + 1, dtype=np.int64)
+        np.add.at(edges, first[near], 1)
+        np.add.at(edges, last[near] + 1, -1)
+        crowd = np.cumsum(edges[:-1]) > 0
+        return item[crowd], (place - at)[crowd]
+
+
+def _enough(size: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """How many pairs an alignment at ``threshold`` has at least, and how many words of text it spans.
+
+    With M words matched, E changed or left out and I put in, 2M - E - I is at
+    least 2 * threshold * size and M + E at most size, so E is at most two thirds
+    of (1 - threshold) * size. Of the M - 1 steps from match to match, E and I
+    spoil at most E + I / 2, which leaves (threshold - (1 - threshold) / 3) * size - 1.
+    """
+    pairs = np.ceil(size * (threshold - (1 - threshold) / 3) - 1 - 1e-9)
+    return np.maximum(pairs, 1).astype(np.int64), np.ceil(size * (3 - 2 * threshold)).astype(np.int64)
+
+
 def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     """Best local alignment of two coded word lists: (score, first, last+1 in ``text``)."""
     size = len(text)
@@ -143,6 +210,7 @@ def _parts(text: str, overlap: int) -> Iterator[tuple[int, list[str]]]:
 def _scan(seeds: Seeds, rare: np.ndarray, threshold: float):
     """(doc_id, th, text) -> every item that aligns with the text at ``threshold`` or more."""
     longest = max((len(i) for i in seeds.items), default=0)
+    enough, span = _enough(np.array([len(i) for i in seeds.items]), threshold)
     present = np.zeros(len(seeds.number) + 1, dtype=bool)  # the last is for words of no item
 
     def reaches(item: np.ndarray, window: np.ndarray) -> bool:
@@ -165,6 +233,8 @@ def _scan(seeds: Seeds, rare: np.ndarray, threshold: float):
                     for place, seed in zip(places[keep].tolist(), found[keep].tolist()):
                         for item, at in seeds.places[seed]:
                             windows.setdefault(item, []).append(place - at)
+                    for item, start in zip(*(c.tolist() for c in seeds.crowded(coded, enough, span))):
+                        windows.setdefault(item, []).append(start)
                     for item, starts in windows.items():
                         size = len(seeds.coded[item])
                         for lo, hi in _windows(starts, size, len(coded)):

@@ -58,6 +58,25 @@ def test_copies_are_found_and_clean_texts_left(spark):
     assert decontam.contaminated(docs, bench.limit(0)).count() == 0
 
 
+def test_dense_edits_are_found(spark):
+    rng = random.Random(8)
+    items = [(i, " ".join(f"i{i}w{k}" for k in range(30))) for i in range(3)]
+    rows = []
+    for i, (_, text) in enumerate(items):
+        words = text.split()
+        edited = [
+            [f"x{k}" if k % 3 == 2 else w for k, w in enumerate(words)],  # every third word replaced
+            [v for k, w in enumerate(words) for v in ((w, f"x{k}") if k % 2 else (w,))],  # one put in after two
+            [v for k, w in enumerate(words) for v in (w, f"x{k}")],  # one put in after each
+        ][i]
+        noise = [f"w{rng.randrange(500)}" for _ in range(40)]
+        rows.append((i, " ".join(noise + edited + noise), None))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r.doc_id, r.item_id): r.score for r in decontam.contaminated(docs, bench).collect()}
+    assert set(found) == {(0, 0), (1, 1), (2, 2)} and min(found.values()) >= 0.5
+
+
 def test_patience_alignment():
     left, right = "x a b c d e y".split(), "a b q d e".split()
     assert licenses.matched(left, right) == [(1, 0), (2, 1), (4, 3), (5, 4)]
