@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwarden.llm import bpe_count, decontam, hnsw, langid, licenses, packing, quotes, simhash, suffixes, toxicity
-from cardwarden.llm.frames import read_table
+from cardwarden.llm import bpe_count, decontam, hnsw, langid, licenses, manifest, packing, quotes, simhash, suffixes, toxicity, trie
+from cardwarden.llm.frames import crc_of_id, read_table
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,6 +72,35 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns, turnless = trie.rebuilt(read_table(spark, sf_dir, "conversations"), group=100, head=6)
+    named = trie.pieces(turns)
+    nodes = trie.trie(named, turnless)
+    ends = trie.id_digests(trie.members(named, turnless))
+    return nodes.join(ends, "name", "left").select(
+        F.col("c").alias("conv_id"), "depth", F.col("parent_c").alias("parent_conv_id"), "n_convs", "n_children",
+        "n_leaves", F.col("saved").alias("saved_tokens"),
+        F.coalesce("ends_sha256", trie.hash_of_nothing()).alias("ends_sha256"),
+    )
+
+
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    tampered = F.coalesce(crc_of_id() % 5 == 0, F.lit(False))
+    leaves = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
+        manifest.leaf().alias("leaf"), F.when(tampered, manifest.leaf(text=lowered)).alias("changed"),
+    )
+    proved = manifest.prove(leaves)
+    folded = manifest.folded(F.coalesce("changed", "leaf"), F.col("proof"))
+    return proved.select(
+        "doc_id", "leaf", "subroot", "root",
+        F.sha2(F.concat_ws("", manifest.all_siblings(F.col("proof"))), 256).alias("proof_sha256"),
+        folded.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One query for each operator, over its whole table."""
     found = (
@@ -84,6 +114,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_nearest_neighbours,
         op9_decontamination,
         op10_toxicity,
+        op12_conversation_trie,
+        op13_manifest,
     )
     return {f.__name__: f for f in found}
 
