@@ -8,7 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwarden.llm import bpe_count, decontam, hnsw, langid, licenses, manifest, packing, quotes, simhash, suffixes, toxicity, trie
+from cardwarden.llm import (
+    article, bpe_count, decontam, hnsw, langid, licenses, manifest, packing, quotes, simhash, suffixes, toxicity, trie,
+)
 from cardwarden.llm.frames import crc_of_id, read_table
 
 
@@ -72,6 +74,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = article.extract(read_table(spark, sf_dir, "pages"), article.fit())
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns, turnless = trie.rebuilt(read_table(spark, sf_dir, "conversations"), group=100, head=6)
     named = trie.pieces(turns)
@@ -114,6 +121,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_nearest_neighbours,
         op9_decontamination,
         op10_toxicity,
+        op11_main_text,
         op12_conversation_trie,
         op13_manifest,
     )
