@@ -24,14 +24,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cardwarden.llm.chunks import groups, offsets, taken
 from cardwarden.llm.frames import process_table, written
 
 CAPACITY = 4096
 END_ID = 1  # closes every document
-KEPT_WORDS = 250_000  # words whose ids a Python process remembers
+KEPT_WORDS = 400_000  # words whose ids a Python process remembers, besides those of the texts at hand
 RANK_BUCKETS = 64
 
 # Fixed: how the vocabulary splits lower-cased text, for the characters of plain text (below).
@@ -40,21 +42,23 @@ WORDS = re.compile(r"[a-zß-öø-ÿ]+|'(?:s|t|re|ve|m|ll|d)|[0-9]|[^\x20\x09-\x0
 # without an added token's string.
 _OTHER = re.compile(r"[^\x00-\x7FÀ-ÖØ-öø-ÿ]|<\|")
 _SPACE = re.compile(r"[\x20\x09-\x0D]")
-_PART = 1 << 20  # characters taken at a time
-_TOGETHER = 1 << 18  # characters whose words are looked up together: they fit a core's cache
+_PART = 1 << 20  # characters of a very long text taken at a time
 _ASKED = 2000  # new words given to the tokenizer at a time
 
 
-class Ids(dict):
-    """word -> its ids as little-endian 32-bit numbers, from the tokenizer itself.
+class Ids:
+    """The ids of texts, from the tokenizer itself.
 
-    The vocabulary splits text into words before any merge, so a text's ids are
-    its words' ids in order; new words are given to the tokenizer's merges many at
-    a time, with a space between. What is not plain goes to the whole tokenizer as
-    it stands, in chunks between ASCII white space, which no word crosses.
+    No word of the vocabulary crosses ASCII white space, so a text's ids are those of
+    its chunks between it, in order, and the vocabulary splits a chunk into words before
+    any merge. Arrow splits many texts at once into chunks and their distinct chunks
+    into words; distinct words are looked up one by one, and ids are gathered by number,
+    from words to chunks and from chunks to texts. New words are given to the
+    tokenizer's merges many at a time. A chunk that is not plain counts as one word and
+    goes to the whole tokenizer as it stands.
 
-    Words are kept in two generations: a full table becomes the older one, and a
-    word met again moves from there to the new one, so common words stay.
+    Words' ids lie one after another in ``flat``. A full table starts anew with the
+    words of the texts at hand, so common ones stay.
     """
 
     def __init__(self, path: str):
@@ -73,46 +77,75 @@ class Ids(dict):
         self.last = np.zeros(max(tokens.values(), default=0) + 1, dtype=bool)
         if mark:
             self.last[[n for token, n in tokens.items() if token.endswith(mark)]] = True
-        self.older: dict[str, bytes] = {}
+        self._forget()
 
-    def of(self, texts: list[str]) -> list[bytes]:
-        """All ids of each text."""
-        out = [b""] * len(texts)
-        some: list[tuple[int, list[str]]] = []
-        size = 0
-        for i, text in enumerate(texts):
-            for part in _parts(text):
-                some.append((i, self._split(part)))
-                size += len(part)
-                if size >= _TOGETHER:
-                    self._join(some, out)
-                    some, size = [], 0
-        self._join(some, out)
-        return out
-
-    def _split(self, part: str) -> list[str]:
-        if _plain(part):
-            return WORDS.findall(part.lower())
-        found = []
-        for chunk in _SPACE.split(part):
-            found += WORDS.findall(chunk.lower()) if _plain(chunk) else [chunk]
-        return found
+    def _forget(self) -> None:
+        self.number: dict[str, int] = {}  # word -> its place in the two arrays
+        self.start, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat = np.zeros(0, "<u4")
 
-    def _join(self, some: list[tuple[int, list[str]]], out: list[bytes]) -> None:
-        new = set().union(*(words for _, words in some)).difference(self)
-        again = list(filter(self.older.__contains__, new))
-        self.update(zip(again, map(self.older.__getitem__, again)))
-        self._learn(new.difference(again))
-        for i, words in some:
-            out[i] += b"".join(map(self.__getitem__, words))
-        if len(self) >= KEPT_WORDS // 2:
-            self.older = dict(self)
-            self.clear()
-
-    def _learn(self, new: set[str]) -> None:
-        plain = [w for w in new if _plain(w)]
-        for at in range(0, len(plain), _ASKED):
-            asked = plain[at : at + _ASKED]
+    def of(self, texts: list[str]) -> list[bytes]:
+        """All ids of each text as little-endian 32-bit numbers."""
+        return [ids.tobytes() for ids in self.arrays(pa.array(texts, pa.string()))]
+
+    def arrays(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """All ids of each text, in order."""
+        for first, last in groups(texts):
+            if last == first + 1 and len(text := texts[first].as_py()) > _PART:
+                parts = [self._gather(pa.array([part], pa.string()))[0] for part in _parts(text)]
+                yield np.concatenate(parts)
+            else:
+                yield from self._gather(texts.slice(first, last - first))
+
+    def _gather(self, texts: pa.Array) -> list[np.ndarray]:
+        split = pc.ascii_split_whitespace(texts)
+        chunks = split.flatten().dictionary_encode()
+        flat, edges = self._chunks(chunks.dictionary)
+        ids, stops = taken(flat, edges[:-1], np.diff(edges), chunks.indices.to_numpy())
+        return np.split(ids, stops[offsets(split)[1:-1]])
+
+    def _chunks(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all chunks one after another, and where each begins and ends."""
+        spaced = pc.replace_substring_regex(pc.utf8_lower(chunks), WORDS.pattern, r"\0 ")
+        other = pc.match_substring_regex(chunks, _OTHER.pattern)
+        split = pc.ascii_split_whitespace(pc.if_else(other, chunks, spaced))
+        words = split.flatten().dictionary_encode()
+        ids, stops = taken(*self._places(words.dictionary.to_pylist()), words.indices.to_numpy())
+        return ids, stops[offsets(split)]
+
+    def _places(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The table, and where it has the ids of each word."""
+        found = list(map(self.number.get, words))
+        new = [word for word, n in zip(words, found) if n is None]
+        if new:
+            if len(self.number) + len(new) > KEPT_WORDS:
+                self._forget()
+                new = words
+            self._learn(new)
+            found = list(map(self.number.__getitem__, words))
+        at = np.array(found, np.int64)
+        return self.flat, self.start[at], self.size[at]
+
+    def _learn(self, words: list[str]) -> None:
+        made = dict.fromkeys(words, b"")
+        plain = [word for word in words if word and _plain(word)]
+        made.update(zip(plain, self._merged(plain)))
+        for word in words:
+            if word and not _plain(word):
+                ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+                made[word] = np.array(ids, "<u4").tobytes()
+        size = np.array([len(made[word]) // 4 for word in words], np.int64)
+        n = len(self.number)
+        self.number.update(zip(words, range(n, n + len(words))))
+        self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(size) - size])
+        self.size = np.concatenate([self.size, size])
+        self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(made.values()), "<u4")])
+
+    def _merged(self, words: list[str]) -> list[bytes]:
+        """Each plain word's ids, as bytes."""
+        found: list[bytes] = []
+        for at in range(0, len(words), _ASKED):
+            asked = words[at : at + _ASKED]
             (code,) = self.merges.encode_batch_fast([" ".join(asked)], add_special_tokens=False)
             ids = np.array(code.ids, dtype="<u4")
             ends = np.flatnonzero(self.last[ids]) + 1
@@ -121,10 +154,8 @@ class Ids(dict):
                 ids = np.array(code.ids, dtype="<u4")
                 ends = np.searchsorted(np.array(code.word_ids), np.arange(len(asked)), side="right")
             data, ends = ids.tobytes(), (ends * 4).tolist()
-            self.update(zip(asked, [data[lo:hi] for lo, hi in zip([0, *ends], ends)]))
-        for word in new.difference(plain):
-            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-            self[word] = np.array(ids, dtype="<u4").tobytes()
+            found += [data[lo:hi] for lo, hi in zip([0, *ends], ends)]
+        return found
 
 
 def _plain(text: str) -> bool:
@@ -154,7 +185,7 @@ def pieces(
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text")
     )
-    last = np.array([end_id], dtype="<u4").tobytes()
+    last = np.array([end_id], dtype="<u4")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = process_table("token_ids")
@@ -162,12 +193,12 @@ def pieces(
             if vocabulary not in kept:
                 kept[vocabulary] = Ids(vocabulary)
             out = []
-            doc_ids, hashes, found = (batch.column(k).to_pylist() for k in range(3))
-            for doc, th, data in zip(doc_ids, hashes, kept[vocabulary].of(found)):
-                data += last
-                for piece, at in enumerate(range(0, len(data), 4 * capacity)):
-                    part = data[at : at + 4 * capacity]
-                    out.append((doc, th, piece, at // 4, len(part) // 4, zlib.crc32(part)))
+            doc_ids, hashes = (batch.column(k).to_pylist() for k in range(2))
+            for doc, th, ids in zip(doc_ids, hashes, kept[vocabulary].arrays(batch.column(2))):
+                ids = np.concatenate([ids, last])
+                for piece, at in enumerate(range(0, len(ids), capacity)):
+                    part = ids[at : at + capacity]
+                    out.append((doc, th, piece, at, len(part), zlib.crc32(part)))
             if out:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(zip(*out), kinds)], names
