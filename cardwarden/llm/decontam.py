@@ -1,11 +1,13 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
-The word n-grams of the test items are the seeds. A first pass counts in how many
-training texts each occurs. A phrase that a hundredth of all texts have starts
-nothing, unless it is no more common than ``COMMON_TIMES`` the upper quartile of
-its item's phrases: an item that leaked into very many texts, whole or edited,
-keeps its seeds. A second pass joins texts to items over the seeds they share; around each shared seed the text is aligned with the item, word
-by word, and the best local alignment, as a share of a perfect one, is the score.
+The word n-grams of the test items are the seeds. One pass over the training texts
+counts in how many of them each seed occurs, and keeps the places around shared seeds
+that have enough of an item's words to reach the threshold at all, with the seeds that
+led there. A phrase that a hundredth of all texts have starts nothing, unless it is no
+more common than ``COMMON_TIMES`` the upper quartile of its item's phrases: an item that
+leaked into very many texts, whole or edited, keeps its seeds. Places with a rare seed
+are aligned with the item, word by word, and the best local alignment, as a share of a
+perfect one, is the score.
 
 Dense edits leave no phrase whole, so pairs of words that follow each other in an
 item are seeds as well, next to each other in the text or with one word between. An
@@ -24,20 +26,25 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardwarden.llm.frames import keyed_rows, same_row, texts
+from cardwarden.llm.chunks import groups, numbered_words
+from cardwarden.llm.frames import keyed_rows, same_row, texts, written
 
 SEED_WORDS = 3
 SHORT_ITEM = 6  # an item with fewer words is only found by its phrases
 THRESHOLD = 0.5  # share of a perfect alignment from which a text counts as contaminated
 MATCH, MISMATCH, GAP = 2, -1, -1
 COMMON_SHARE, COMMON_TIMES = 0.01, 20
-BLOCK_WORDS = 500_000  # words of the items taken together, about
+BLOCK_BYTES = 4_000_000  # of the texts of items taken together, about
 
 _WORD = re.compile(r"\w+")
 _PART = 1 << 20  # characters of a text looked at together
+# Chunks of ASCII and accented letters of one character split at these signs; others one by one.
+_OTHER = r"[^\x00-\x7FÀ-ÖØ-öø-ÿ]"
+_BETWEEN = r"[^0-9a-z_ß-öø-ÿ]+"
 
 
 def words_of(text: str) -> list[str]:
@@ -45,6 +52,14 @@ def words_of(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
+def _words_of_chunks(chunks: pa.Array) -> pa.ListArray:
+    """``words_of`` each chunk."""
+    plain = pc.replace_substring_regex(pc.utf8_lower(chunks), _BETWEEN, " ")
+    other = pc.match_substring_regex(chunks, _OTHER)
+    slow = [" ".join(words_of(chunk)) for chunk in chunks.filter(other).to_pylist()]
+    return pc.ascii_split_whitespace(pc.replace_with_mask(plain, other, pa.array(slow, pa.string())))
+
+
 class Seeds:
     """The n-grams of a block of items, and where each occurs in which item."""
 
@@ -63,6 +78,9 @@ class Seeds:
                 table.setdefault(size, {}).setdefault(gram, []).append((i, at))
         self.grams = [(size, gram) for size in sorted(table) for gram in sorted(table[size])]
         self.places = [table[size][gram] for size, gram in self.grams]
+        flat = [place for places in self.places for place in places]
+        self.place_item, self.place_at = np.array(flat, dtype=np.int64).reshape(-1, 2).T
+        self.place_first = np.cumsum([0, *map(len, self.places)])
         self.codes: dict[int, tuple[np.ndarray, np.ndarray]] = {}  # size -> sorted codes, their numbers
         for size in table:
             own = [(self._code(g), k) for k, (s, g) in enumerate(self.grams) if s == size]
@@ -86,6 +104,20 @@ class Seeds:
             code = code * (len(self.number) + 1) + w
         return code
 
+    def segments(self, texts: pa.Array, overlap: int) -> Iterator[list[tuple[int, int, np.ndarray]]]:
+        """Texts in groups: (row, number of the first word, numbers as ``coded_text`` gives them).
+
+        A very long text comes as groups of one part each.
+        """
+        for first, last in groups(texts):
+            if last == first + 1 and len(text := texts[first].as_py()) > _PART:
+                for before, words in _parts(text, overlap):
+                    yield [(first, before, self.coded_text(words))]
+                continue
+            words, at, edges = numbered_words(texts.slice(first, last - first), _words_of_chunks)
+            coded = self.coded_text(words)[at]
+            yield [(first + k, 0, coded[lo:hi]) for k, (lo, hi) in enumerate(zip(edges[:-1], edges[1:]))]
+
     def coded_text(self, words: list[str]) -> np.ndarray:
         """Each word's number; -1 for words that no item has."""
         numbers = map(self.number.get, words, repeat(-1))
@@ -114,11 +146,19 @@ class Seeds:
             return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
         return np.concatenate(places), np.concatenate(found)
 
+    def items_of(self, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Every place in an item of each seed: (which of ``seeds``, item, place in the item)."""
+        n = self.place_first[seeds + 1] - self.place_first[seeds]
+        rows = np.repeat(self.place_first[seeds] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        return np.repeat(np.arange(len(seeds)), n), self.place_item[rows], self.place_at[rows]
 
     def crowded(
-        self, coded: np.ndarray, enough: np.ndarray, span: np.ndarray
-    ) -> tuple[np.ndarray, np.ndarray]:
-        """Where ``enough`` pairs of an item lie within ``span`` words: (item, where it would begin)."""
+        self, coded: np.ndarray, enough: np.ndarray, span: np.ndarray, begins: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where ``enough`` pairs of an item lie within ``span`` words of one segment.
+
+        (place, item, where the item would begin) of these pairs; segments start at ``begins``.
+        """
         items, places, ats = [], [], []
         for step in (1, 2):
             left, right = coded[:-step], coded[step:]
@@ -135,7 +175,7 @@ class Seeds:
             places.append(np.repeat(at, n))
             ats.append(self.pair_at[rows])
         if not items:
-            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+            return (np.zeros(0, dtype=np.int64),) * 3
         item, place, at = (np.concatenate(c) for c in (items, places, ats))
         many = (np.bincount(item, minlength=len(enough)) >= enough)[item]
         item, place, at = item[many], place[many], at[many]
@@ -146,11 +186,13 @@ class Seeds:
         inside = last < len(item)
         first, last = first[inside], last[inside]
         near = (item[first] == item[last]) & (place[last] - place[first] < span[item[first]])
+        segment = np.searchsorted(begins, place, side="right")
+        near &= segment[first] == segment[last]
         edges = np.zeros(len(item) + 1, dtype=np.int64)
         np.add.at(edges, first[near], 1)
         np.add.at(edges, last[near] + 1, -1)
         crowd = np.cumsum(edges[:-1]) > 0
-        return item[crowd], (place - at)[crowd]
+        return place[crowd], item[crowd], (place - at)[crowd]
 
 
 def _enough(size: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
@@ -207,44 +249,127 @@ def _parts(text: str, overlap: int) -> Iterator[tuple[int, list[str]]]:
         held, at = held[-overlap:], stop
 
 
-def _scan(seeds: Seeds, rare: np.ndarray, threshold: float):
-    """(doc_id, th, text) -> every item that aligns with the text at ``threshold`` or more."""
-    longest = max((len(i) for i in seeds.items), default=0)
-    enough, span = _enough(np.array([len(i) for i in seeds.items]), threshold)
-    present = np.zeros(len(seeds.number) + 1, dtype=bool)  # the last is for words of no item
+class Reach:
+    """Whether the item's words that are in a stretch of text at all could give the threshold."""
 
-    def reaches(item: np.ndarray, window: np.ndarray) -> bool:
-        """Whether the item's words that are in the window at all could give the threshold."""
-        present[window] = True
-        share = np.count_nonzero(present[item]) / len(item)
-        present[window] = False
-        return share >= threshold
+    def __init__(self, seeds: Seeds, threshold: float):
+        self.items, self.threshold = seeds.coded, threshold
+        self.present = np.zeros(len(seeds.number) + 1, dtype=bool)  # the last is for words of no item
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def __call__(self, item: int, window: np.ndarray) -> bool:
+        words = self.items[item]
+        self.present[window] = True
+        share = np.count_nonzero(self.present[words]) / len(words)
+        self.present[window] = False
+        return share >= self.threshold
+
+
+FOUND = pa.schema([
+    ("seed", pa.int32()), ("n", pa.int64()), ("doc_id", pa.int64()), ("th", pa.int64()), ("item", pa.int32()),
+    ("windows", pa.list_(pa.struct([
+        ("first", pa.int64()), ("words", pa.binary()), ("starts", pa.binary()), ("seeds", pa.binary())
+    ]))),
+])
+FOUND_SQL = (
+    "seed int, n long, doc_id long, th long, item int, "
+    "windows array<struct<first:long,words:binary,starts:binary,seeds:binary>>"
+)
+
+
+def _search(seeds: Seeds, threshold: float):
+    """(doc_id, th, text) -> places to align, and how many texts have each seed.
+
+    A row with ``seed`` counts texts (the last seed all of them), combined within the
+    task; the others hold the stretches of one text that may align with one item: the
+    first word's number, the words, where the item would begin and the seed that says
+    so (-1 for crowded pairs), as 32-bit numbers.
+    """
+    sizes = np.array([len(i) for i in seeds.items])
+    enough, span = _enough(sizes, threshold)
+    overlap = 4 * int(sizes.max(initial=0)) + 64
+    reach = Reach(seeds, threshold)
+
+    def places(segments: list[tuple[int, int, np.ndarray]], total: np.ndarray, seen: dict, out: dict) -> None:
+        """Adds what the segments hold to ``total`` and to ``out``: (row, item) -> windows.
+
+        ``seen`` holds the seeds that the last row's parts have had already.
+        """
+        rows = np.array([row for row, _, _ in segments])
+        length = np.array([len(coded) for _, _, coded in segments])
+        begins = np.cumsum(length + 2) - length - 2
+        whole = np.full(int(length.sum()) + 2 * len(segments), -1, dtype=np.int64)  # two strangers between segments
+        for begin, (_, _, coded) in zip(begins, segments):
+            whole[begin : begin + len(coded)] = coded
+        at, seed = seeds.hits(whole)
+        row = rows[np.searchsorted(begins, at, side="right") - 1]
+        seed_of = np.unique(np.stack([row, seed]), axis=1)[1]
+        if len(segments) == 1:
+            had = seen.get(int(rows[0]), seed_of[:0])
+            seed_of = np.setdiff1d(seed_of, had)
+            seen.clear()
+            seen[int(rows[0])] = np.concatenate([had, seed_of])
+        np.add.at(total, seed_of, 1)
+        which, item, inside = seeds.items_of(seed)
+        place, crowd, start = seeds.crowded(whole, enough, span, begins)
+        segment = np.searchsorted(begins, np.concatenate([at[which], place]), side="right") - 1
+        item, start = np.concatenate([item, crowd]), np.concatenate([at[which] - inside, start]) - begins[segment]
+        by = np.concatenate([seed[which], np.full(len(crowd), -1)])
+        order = np.lexsort((start, item, segment))
+        segment, item, start, by = segment[order], item[order], start[order], by[order]
+        edges = np.flatnonzero(np.diff(segment, prepend=-1) | np.diff(item, prepend=-1))
+        for lo, hi in zip(edges.tolist(), [*edges[1:].tolist(), len(item)]):
+            row, before, coded = segments[segment[lo]]
+            i, starts = int(item[lo]), start[lo:hi]
+            for a, b in _windows(starts.tolist(), len(seeds.coded[i]), len(coded)):
+                if reach(i, coded[a:b]):
+                    near = (starts > a - 2 * sizes[i] - 8) & (starts < b)
+                    out.setdefault((row, i), []).append({
+                        "first": before + a, "words": coded[a:b].astype("<i4").tobytes(),
+                        "starts": (starts[near] - a).astype("<i4").tobytes(),
+                        "seeds": by[lo:hi][near].astype("<i4").tobytes(),
+                    })
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(seeds.grams) + 1, dtype=np.int64)  # the last counts texts
+        for batch in batches:
+            total[-1] += batch.num_rows
+            out: dict[tuple[int, int], list[dict]] = {}
+            seen: dict[int, np.ndarray] = {}
+            for segments in seeds.segments(batch.column("text"), overlap):
+                places(segments, total, seen, out)
+            ids, hashes = batch.column("doc_id").to_pylist(), batch.column("th").to_pylist()
+            found = [
+                {"doc_id": ids[row], "th": hashes[row], "item": item, "windows": windows}
+                for (row, item), windows in out.items()
+            ]
+            if found:
+                yield pa.RecordBatch.from_pylist(found, FOUND)
+        seen = np.flatnonzero(total).tolist()
+        yield pa.RecordBatch.from_pylist([{"seed": k, "n": int(total[k])} for k in seen], FOUND)
+
+    return search
+
+
+def _best(seeds: Seeds, rare: np.ndarray, threshold: float):
+    """(doc_id, th, item, windows) -> the best alignment, where it reaches ``threshold``."""
+    reach = Reach(seeds, threshold)
+
+    def align_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for doc, th, text in zip(*(batch.column(c) for c in ("doc_id", "th", "text"))):
-                best: dict[int, tuple[float, int, int]] = {}
-                for before, words in _parts(text.as_py(), 4 * longest + 64):
-                    coded = seeds.coded_text(words)
-                    places, found = seeds.hits(coded)
-                    keep = rare[found] if len(found) else []
-                    windows: dict[int, list[int]] = {}
-                    for place, seed in zip(places[keep].tolist(), found[keep].tolist()):
-                        for item, at in seeds.places[seed]:
-                            windows.setdefault(item, []).append(place - at)
-                    for item, start in zip(*(c.tolist() for c in seeds.crowded(coded, enough, span))):
-                        windows.setdefault(item, []).append(start)
-                    for item, starts in windows.items():
-                        size = len(seeds.coded[item])
-                        for lo, hi in _windows(starts, size, len(coded)):
-                            if not reaches(seeds.coded[item], coded[lo:hi]):
-                                continue
-                            score, a, b = align(seeds.coded[item], coded[lo:hi])
-                            share = score / (MATCH * size)
-                            if share >= threshold and share > best.get(item, (0.0,))[0]:
-                                best[item] = (share, before + lo + a, before + lo + b)
-                out += [(doc.as_py(), th.as_py(), i, *b) for i, b in best.items()]
+            for doc, th, item, windows in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "th", "item", "windows"))):
+                words, best = seeds.coded[item], (0.0, 0, 0)
+                for window in windows:
+                    text, starts, by = (np.frombuffer(window[k], "<i4").astype(np.int64) for k in ("words", "starts", "seeds"))
+                    starts = starts[(by < 0) | rare[by]]
+                    for lo, hi in _windows(starts.tolist(), len(words), len(text)):
+                        if reach(item, text[lo:hi]):
+                            score, a, b = align(words, text[lo:hi])
+                            share = score / (MATCH * len(words))
+                            if share > best[0]:
+                                best = share, window["first"] + lo + a, window["first"] + lo + b
+                if best[0] >= threshold:
+                    out.append((doc, th, item, *best))
             if out:
                 kinds = [pa.int64(), pa.int64(), pa.int32(), pa.float64(), pa.int64(), pa.int64()]
                 yield pa.RecordBatch.from_arrays(
@@ -252,45 +377,29 @@ def _scan(seeds: Seeds, rare: np.ndarray, threshold: float):
                     ["doc_id", "th", "item", "score", "first_word", "last_word"],
                 )
 
-    return scan
+    return align_all
 
 
 def _windows(starts: list[int], size: int, end: int) -> list[tuple[int, int]]:
     """Stretches of a text to align with an item that seeds place at ``starts``; overlaps joined.
 
-    Half the item's length to each side leaves room for inserted words.
+    Half the item's length to each side leaves room for inserted words. A stretch that
+    grows too long is cut, and the next begins twice the item's length before the cut,
+    more than any alignment at half of a perfect score spans.
     """
     room = size // 2 + 4
     out: list[list[int]] = []
     for start in sorted(starts):
         lo, hi = max(0, start - room), min(end, start + size + room)
-        if out and lo <= out[-1][1] and hi - out[-1][0] <= 8 * size + 64:
+        if not out or lo > out[-1][1]:
+            out.append([lo, hi])
+        elif hi - out[-1][0] <= 8 * size + 64:
             out[-1][1] = max(hi, out[-1][1])
         else:
-            out.append([lo, hi])
+            out.append([max(out[-1][0], min(lo, out[-1][1] - 2 * size)), hi])
     return [(lo, hi) for lo, hi in out]
 
 
-def _counter(seeds: Seeds):
-    """(text) -> (seed, number of texts that have it), combined within the task."""
-    longest = max((len(i) for i in seeds.items), default=0)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(seeds.grams) + 1, dtype=np.int64)  # the last counts texts
-        for batch in batches:
-            total[-1] += batch.num_rows
-            for text in batch.column("text"):
-                found = [
-                    seeds.hits(seeds.coded_text(words))[1]
-                    for _, words in _parts(text.as_py(), 4 * longest + 64)
-                ]
-                total[np.unique(np.concatenate(found))] += 1
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["seed", "n"])
-
-    return count
-
-
 def _rare(seeds: Seeds, counts: dict[int, int], total: int) -> np.ndarray:
     """Which seeds are rare enough for at least one item they occur in."""
     of_item: dict[int, list[int]] = {}
@@ -321,33 +430,34 @@ def contaminated(
     known = items.select(
         F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")
     ).where("text IS NOT NULL")
-    size = known.agg(F.sum(F.size(F.split("text", " ")))).first()[0] or 0
-    blocks = max(1, -(-size // BLOCK_WORDS))
+    key = F.sha2("text", 256)
+    different = known.select("text").distinct()
+    size = different.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = max(1, -(-size // BLOCK_BYTES))
     out = None
     for block in range(blocks):
-        own = known.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block)
-        groups: dict[tuple, list] = {}
-        for item_id, t in own.distinct().collect():  # about BLOCK_WORDS words
+        own = different.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block)
+        groups_of: dict[tuple, list[str]] = {}
+        for t, k in own.select("text", key).collect():  # about BLOCK_BYTES
             if words := tuple(words_of(t)):
-                groups.setdefault(words, []).append(item_id)
-        if not groups:
+                groups_of.setdefault(words, []).append(k)
+        if not groups_of:
             continue
-        ordered = sorted(groups)
+        ordered = sorted(groups_of)
         seeds = Seeds([list(w) for w in ordered], n)
-        counts = text.select("text").mapInArrow(_counter(seeds), "seed long, n long")
-        totals = dict(
-            counts.groupBy("seed").agg(F.sum("n").alias("n")).collect()  # one row a seed
-        )
+        places = written(text.mapInArrow(_search(seeds, threshold), FOUND_SQL))
+        counts = places.where("seed IS NOT NULL").groupBy("seed").agg(F.sum("n").alias("n"))
+        totals = dict(counts.collect())  # one row a seed
         rare = _rare(seeds, totals, totals.get(len(seeds.grams), 0))
-        found = text.mapInArrow(
-            _scan(seeds, rare, threshold),
+        found = places.where("seed IS NULL").select("doc_id", "th", "item", "windows").mapInArrow(
+            _best(seeds, rare, threshold),
             "doc_id long, th long, item int, score double, first_word long, last_word long",
         )
-        ids = spark.createDataFrame(
-            [(i, item_id) for i, w in enumerate(ordered) for item_id in groups[w]],
-            "item int, item_id long",
+        keys = spark.createDataFrame(
+            [(i, k) for i, w in enumerate(ordered) for k in groups_of[w]], "item int, key string"
         )
-        part = found.join(F.broadcast(ids), "item").select(
+        ids = known.select("item_id", key.alias("key")).join(F.broadcast(keys), "key").drop("key")
+        part = found.join(ids, "item").select(
             "doc_id", "th", "item_id", "score", "first_word", "last_word"
         )
         out = part if out is None else out.union(part)
