@@ -103,7 +103,7 @@ def trie(named: DataFrame, turnless: DataFrame, piece: int = PIECE) -> DataFrame
         nodes.join(children, "name", "left").withColumn("n_children", F.coalesce("n_children", F.lit(0).cast("long")))
     )
     told = totals(nodes, named, piece)
-    return _with_parents(told.unionByName(_root(told, members(named, turnless))))
+    return _with_parents(written(told.unionByName(_root(told, members(named, turnless)))))
 
 
 def members(named: DataFrame, turnless: DataFrame) -> DataFrame:
@@ -140,9 +140,8 @@ def pieces(turns: DataFrame, piece: int = PIECE) -> DataFrame:
         .drop("start")
     )
     ends = named.select("c", (F.col("b") + 1).alias("b"), F.element_at("names", -1).alias("before"))
-    return named.where("b = 0").withColumn("before", F.lit(ROOT)).unionByName(
-        named.where("b > 0").join(ends, ["c", "b"])
-    )
+    later = named.where("b > 0").join(ends, ["c", "b"])
+    return written(named.where("b = 0").withColumn("before", F.lit(ROOT)).unionByName(later))
 
 
 def _starts(segments: DataFrame, height: int) -> DataFrame:
@@ -233,15 +232,13 @@ def _summed(parts: DataFrame) -> DataFrame:
 
 def _root(nodes: DataFrame, ends: DataFrame) -> DataFrame:
     """The node of the empty prefix, where there is any conversation."""
-    convs = ends.agg(F.min("c").alias("c"), F.count("*").alias("n_convs"))
-    top = nodes.where("depth = 1").agg(
-        F.count("*").alias("n_children"), F.sum("n_leaves").alias("leaves"), F.sum("saved").alias("saved")
+    top = nodes.where("depth = 1").select("saved", "n_leaves")
+    both = ends.select("c").unionByName(top, allowMissingColumns=True).agg(
+        F.min("c").alias("c"), F.count("c").alias("n_convs"), F.count("saved").alias("n_children"),
+        F.coalesce(F.sum("saved"), F.lit(0)).alias("saved"), F.coalesce(F.sum("n_leaves"), F.lit(1)).alias("n_leaves"),
     )
-    both = convs.where("n_convs > 0").withColumn("name", F.lit(ROOT)).join(top.withColumn("name", F.lit(ROOT)), "name")
-    return both.select(
-        "name", F.lit(None).cast("string").alias("parent"), F.lit(0).cast("long").alias("depth"), "c", "n_convs",
-        "n_children", F.coalesce("saved", F.lit(0).cast("long")).alias("saved"),
-        F.coalesce("leaves", F.lit(1).cast("long")).alias("n_leaves"),
+    return both.where("n_convs > 0").select(
+        F.lit(ROOT).alias("name"), F.lit(None).cast("string").alias("parent"), F.lit(0).cast("long").alias("depth"), "*"
     )
 
 
