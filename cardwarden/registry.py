@@ -745,10 +745,7 @@ def _(spark, sf_dir):
         tables.label_logins(logins, accts),
     )
     run.start(stream, f"{root}/data", f"{root}/checkpoint").awaitTermination()
-    released, f = spark.read.schema(stream.schema).parquet(f"{root}/data"), load_feeds(spark, sf_dir)
-    return asof_stream.with_unreleased(
-        released, f.txn.select("txn_id", "account_id", "txn_ts"), f.auth
-    )
+    return asof_stream.settled(spark.read.schema(stream.schema).parquet(f"{root}/data"))
 
 
 @query("st6_velocity_stream")

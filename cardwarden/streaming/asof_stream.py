@@ -1,20 +1,31 @@
-"""Stream-stream as-of join with a watermark and no bound on how old a login may be."""
+"""Stream-stream as-of join: every transaction comes out, and again whenever its login changes.
+
+A transaction is told at once with the latest login known for it, and told anew with
+the next ``revision`` when a login that arrives later belongs to it. Nothing waits for
+the watermark and nothing is dropped: rows behind it are matched with what the state
+still holds, rows without an account or time pass by the state. ``settled`` takes the
+last revision of every row: as many rows as went in, at any moment of the stream.
+
+State per key is a map from time bucket to rows, for open transactions and for logins.
+A transaction is open, that is, revised by late logins, until the watermark has passed
+its bucket; a timer then drops that bucket alone. Logins older than ``keep`` behind the
+watermark are folded, bucket by bucket, into the newest of them.
+"""
 
 from __future__ import annotations
 
+import pickle
 import sys
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from ..operators.asof import asof_join
-
 MAX_HOT_ACCOUNTS = 10_000
 _CARRIED = (T.StringType, T.NumericType, T.BooleanType)
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -29,38 +40,100 @@ def use_rocksdb(spark: SparkSession) -> None:
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-_NEVER = -(2**63)
+class Buckets:
+    """Rows of one key in a map state, a value for each span of ``width`` microseconds.
+
+    Only buckets that are asked for are read; those that changed are written by ``flush``.
+    """
+
+    def __init__(self, handle: StatefulProcessorHandle, name: str, width: int):
+        packed = T.StructType([T.StructField("rows", T.BinaryType())])
+        self.map = handle.getMapState(name, T.StructType([T.StructField("bucket", T.LongType())]), packed)
+        self.list = handle.getValueState(f"{name}_list", packed)  # which buckets there are, in order
+        self.width = width
+        self.forget()
+
+    def forget(self) -> None:
+        """Another key follows."""
+        self.held: dict[int, list] = {}
+        self.changed: set[int] = set()
+        self.order: list[int] | None = None
+        self.order_changed = False
+
+    def all(self) -> list[int]:
+        if self.order is None:
+            self.order = pickle.loads(self.list.get()[0]) if self.list.exists() else []
+        return self.order
+
+    def rows(self, bucket: int) -> list:
+        if bucket not in self.held:
+            there = bisect_left(order := self.all(), bucket)
+            known = there < len(order) and order[there] == bucket
+            self.held[bucket] = pickle.loads(self.map.getValue((bucket,))[0]) if known else []
+        return self.held[bucket]
+
+    def add(self, at: int, row: tuple) -> int:
+        """Puts the row in order among those of its bucket; returns the bucket."""
+        bucket = at // self.width
+        rows = self.rows(bucket)
+        if not rows:
+            insort(self.all(), bucket)
+            self.order_changed = True
+        insort(rows, row, key=lambda r: r[0])
+        self.changed.add(bucket)
+        return bucket
+
+    def put(self, bucket: int, rows: list) -> None:
+        self.held[bucket] = rows
+        self.changed.add(bucket)
+
+    def drop(self, bucket: int) -> None:
+        self.all().remove(bucket)
+        self.order_changed = True
+        self.held.pop(bucket, None)
+        self.changed.discard(bucket)
+        self.map.removeKey((bucket,))
+
+    def flush(self) -> None:
+        for bucket in self.changed:
+            self.map.updateValue((bucket,), (pickle.dumps(self.held[bucket]),))
+        if self.order_changed:
+            self.list.update((pickle.dumps(self.order),))
+        self.forget()
 
 
 class LoginMatcher(StatefulProcessor):
-    """Holds transactions until the watermark passes them, then matches the latest login.
+    """Matches transactions as they come and revises open ones when logins come later.
 
-    State per key: the waiting transactions, the newest login the watermark has
-    passed, and the logins after it. Both lists are as long as the watermark
-    delay is, not as the history. Rows are tuples that begin with their time in
-    microseconds, logins go on with their id.
+    Rows are tuples that begin with their time in microseconds, logins go on with
+    their id. An open transaction is (time, its number, revision, its row, the login
+    told last). Numbers count the transactions of the key.
     """
 
     def __init__(
         self, txn_schema: T.StructType, login_schema: T.StructType, out_names: list[str],
-        numeric_id: bool,
+        numeric_id: bool, width: int, keep: int,
     ):
         self.txn_schema = txn_schema
         self.login_schema = login_schema
         self.out_names = out_names
         self.numeric_id = numeric_id
+        self.width, self.keep = width, keep
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", self.txn_schema)
-        self.logins = handle.getListState("logins", self.login_schema)
+        self.open = Buckets(handle, "open", self.width)
+        self.logins = Buckets(handle, "logins", self.width)
+        packed = T.StructType([T.StructField("row", T.BinaryType())])
+        self.oldest = handle.getValueState("oldest", packed)  # the newest of the folded logins
+        self.count = handle.getValueState("count", T.StructType([T.StructField("n", T.LongType())]))
 
     @staticmethod
     def _rows(frame: pd.DataFrame, schema: T.StructType) -> list[tuple]:
         """Tuples in schema order, None for what is missing.
 
-        A batch column of whole numbers with gaps arrives as floats, which the
-        state would store as nulls, so each value is made whole again.
+        A batch column of whole numbers with gaps arrives as floats, so each value is
+        made whole again.
         """
         columns = []
         for field in schema.fields:
@@ -71,59 +144,93 @@ class LoginMatcher(StatefulProcessor):
             ])
         return list(zip(*columns))
 
-    @staticmethod
-    def _replace(state, rows: list[tuple]) -> None:
-        if rows:
-            state.put(rows)
-        else:
-            state.clear()
+    def _order(self, login: tuple) -> tuple:
+        """Time, then id; as the lists hold it in front of the login."""
+        return login[0], int(login[1]) if self.numeric_id else login[1] or ""
+
+    def _latest(self, at: int) -> tuple | None:
+        """The latest login at or before a time, as far as the state knows."""
+        bucket = at // self.width
+        rows = self.logins.rows(bucket)
+        found = bisect_right(rows, at, key=lambda r: r[0][0])
+        if found:
+            return rows[found - 1][1]
+        order = self.logins.all()
+        before = bisect_left(order, bucket)
+        if before:
+            return self.logins.rows(order[before - 1])[-1][1]
+        folded = pickle.loads(self.oldest.get()[0]) if self.oldest.exists() else None
+        return folded if folded and folded[0] <= at else None
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802
-        soonest, newest = None, _NEVER
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        number = first = self.count.get()[0] if self.count.exists() else 0
         for batch in rows:
             is_txn = batch["is_txn"].astype(bool)
-            txns = self._rows(batch[is_txn], self.txn_schema)
-            logins = self._rows(batch[~is_txn], self.login_schema)
-            if txns:
-                self.waiting.appendList(txns)
-                first = min(t[0] for t in txns)
-                soonest = first if soonest is None else min(soonest, first)
-            if logins:
-                self.logins.appendList(logins)
-                newest = max(newest, *(e[0] for e in logins))
-        # A time that has passed already fires with the next watermark. Logins alone have a timer
-        # too, so an account that never buys keeps one login and those after the watermark.
-        if soonest is None and newest > _NEVER:
-            soonest = newest
-        if soonest is not None:
-            self.handle.registerTimer(
-                max(-(-soonest // 1000), timerValues.getCurrentWatermarkInMs() + 1)
-            )
-        return iter([])
+            out: list[tuple] = []
+            changed = {self._add_login(login, passed) for login in self._rows(batch[~is_txn], self.login_schema)}
+            if changed:
+                out += self._revised(key, min(changed))
+            for txn in self._rows(batch[is_txn], self.txn_schema):
+                login = self._latest(txn[0])
+                late = txn[0] <= passed
+                out.append(self._told(key, number, 0, late, txn, login))
+                if not late:
+                    bucket = self.open.add(txn[0], (txn[0], number, 0, txn, login))
+                    self.handle.registerTimer((bucket + 1) * self.width // 1000)
+                number += 1
+            if out:
+                yield pd.DataFrame(out, columns=self.out_names, dtype=object)
+        if number > first:
+            self.count.update((number,))
+        self.open.flush()
+        self.logins.flush()
+
+    def _told(self, key, number: int, revision: int, late: bool, txn: tuple, login: tuple | None) -> tuple:
+        nothing = (None,) * len(self.login_schema.fields)
+        return (*key, number, revision, late, *txn, *(login or nothing))
+
+    def _add_login(self, login: tuple, passed: int) -> int:
+        """Keeps a login; returns the first bucket whose transactions it may belong to."""
+        bucket = login[0] // self.width
+        if (bucket + 1) * self.width + self.keep <= passed:  # older than what is kept apart
+            self._fold(login)
+        else:
+            self.logins.add(login[0], (self._order(login), login))
+            self.handle.registerTimer(((bucket + 1) * self.width + self.keep) // 1000)
+        return bucket
+
+    def _fold(self, login: tuple) -> None:
+        folded = pickle.loads(self.oldest.get()[0]) if self.oldest.exists() else None
+        if not folded or self._order(folded) < self._order(login):
+            self.oldest.update((pickle.dumps(login),))
+
+    def _revised(self, key, first: int) -> list[tuple]:
+        """Open transactions from a bucket on whose login is another one now."""
+        out = []
+        order = self.open.all()
+        for bucket in order[bisect_left(order, first):]:
+            fresh, any_new = [], False
+            for at, number, revision, txn, told in self.open.rows(bucket):
+                login = self._latest(at)
+                if login != told:
+                    any_new, revision = True, revision + 1
+                    out.append(self._told(key, number, revision, False, txn, login))
+                fresh.append((at, number, revision, txn, login))
+            if any_new:
+                self.open.put(bucket, fresh)
+        return out
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        txns = [tuple(t) for t in self.waiting.get()]
-        order = (lambda e: (e[0], int(e[1]))) if self.numeric_id else (lambda e: e[:2])
-        logins = sorted((tuple(e) for e in self.logins.get()), key=order)
-        times = [e[0] for e in logins]
-        later = [t for t in txns if t[0] > passed]
-        self._replace(self.waiting, later)
-        # Keep the newest login the watermark has passed, and all after it.
-        kept = logins[max(bisect_right(times, passed) - 1, 0):]
-        self._replace(self.logins, kept)
-        if later:
-            self.handle.registerTimer(-(-min(t[0] for t in later) // 1000))
-        elif len(kept) > 1:
-            self.handle.registerTimer(-(-kept[-1][0] // 1000))
-        nothing = (None,) * len(self.login_schema.fields)
-        out = []
-        for t in txns:
-            if t[0] <= passed:
-                at = bisect_right(times, t[0])
-                out.append((key[0], *t, *(logins[at - 1] if at else nothing)))
-        if out:
-            yield pd.DataFrame(out, columns=self.out_names, dtype=object)
+        for bucket in [b for b in self.open.all() if (b + 1) * self.width <= passed]:
+            self.open.drop(bucket)
+        for bucket in [b for b in self.logins.all() if (b + 1) * self.width + self.keep <= passed]:
+            self._fold(self.logins.rows(bucket)[-1][1])
+            self.logins.drop(bucket)
+        self.open.flush()
+        self.logins.flush()
+        return iter([])
 
     def close(self) -> None:
         pass
@@ -132,41 +239,42 @@ class LoginMatcher(StatefulProcessor):
 LOGIN_COLUMNS = ("device_is_new", "failed_attempts_1h", "ato_label", "ip_geo")
 
 
-def with_unreleased(
-    released: DataFrame, txn: DataFrame, auth: DataFrame,
-    login_cols: Sequence[str] = LOGIN_COLUMNS,
-) -> DataFrame:
-    """What the stream has released, and all other transactions matched in a batch.
+TOLD = ("row_no", "revision", "late")
+_ROW = ("account_id", "key_share", "row_no")
 
-    The others are those the watermark has not passed yet, those that came
-    behind it and were dropped, and those without an account or time: as many
-    rows come out as ``txn`` has. ``txn`` and ``auth`` are the stored feeds.
+
+def settled(told: DataFrame) -> DataFrame:
+    """The last revision of every transaction that ``fuse_stream`` has told, in its other columns.
+
+    Rows without an account or time have no number and are told once.
     """
-    rest = txn.join(released.select("txn_id"), "txn_id", "left_anti")
-    logins = auth.select(
-        "account_id", "event_ts", F.col("event_ts").alias("last_auth_ts"),
-        F.col("event_id").alias("last_event_id"), *login_cols,
-    )
-    matched = asof_join(
-        rest, logins, "account_id", "txn_ts", "event_ts",
-        ["last_auth_ts", "last_event_id", *login_cols], "last_event_id",
-    )
-    return released.unionByName(matched.select(*released.columns))
+    last = Window.partitionBy(*_ROW).orderBy(F.col("revision").desc())
+    numbered = told.where("row_no IS NOT NULL").withColumn("_n", F.row_number().over(last))
+    rows = numbered.where("_n = 1").drop("_n").unionByName(told.where("row_no IS NULL"))
+    return rows.drop("key_share", *TOLD)
 
 
 def fuse_stream(
     txn: DataFrame, auth: DataFrame, delay: str = "1 hour",
     login_cols: Sequence[str] = LOGIN_COLUMNS,
     hot: DataFrame | None = None,
+    keep_hours: int = 7 * 24, bucket_minutes: int = 60,
 ) -> DataFrame:
-    """Each transaction with its latest login at or before it, once the watermark has passed it.
+    """Each transaction with its latest login at or before it, told at once and revised later.
+
+    Returns the columns of ``txn``, the login's, and ``key_share``, ``row_no``,
+    ``revision``, ``late`` (see ``settled``). A login that arrives later revises the
+    transactions whose bucket of ``bucket_minutes`` the watermark has not passed. A
+    transaction behind the watermark is matched once (``late``), exactly as long as its
+    time is within ``keep_hours`` of it; before that only the newest of the older logins
+    is known, and none is told where that one came after the transaction.
 
-    Logins later than the watermark delay are too late to count. ``hot`` is a
-    short static table (account_id, shares) of accounts too busy for one task:
-    their transactions are dealt out over ``shares`` keys and their logins copied
+    ``hot`` is a short static table (account_id, shares) of accounts too busy for one
+    task: their transactions are dealt out over ``shares`` keys and their logins copied
     to each. The table belongs to the checkpoint: keep it as it is over restarts.
     """
-    txns = txn.where("account_id IS NOT NULL AND txn_ts IS NOT NULL").withWatermark("txn_ts", delay)
+    keyed = F.col("account_id").isNotNull() & F.col("txn_ts").isNotNull()
+    txns = txn.withWatermark("txn_ts", delay).where(keyed)
     logins = auth.where("account_id IS NOT NULL AND event_ts IS NOT NULL").withWatermark(
         "event_ts", delay
     )
@@ -177,7 +285,7 @@ def fuse_stream(
         txns = txns.join(F.broadcast(hot), "account_id", "left")
         logins = logins.join(F.broadcast(hot), "account_id", "left")
         count = F.coalesce(F.col("shares"), F.lit(1))
-        share = F.pmod(F.xxhash64("txn_id"), count).cast("int")
+        share = F.pmod(F.xxhash64(*txn.columns), count).cast("int")
         shares = F.sequence(F.lit(0), (count - 1).cast("int"))
     own = [c for c in txn.columns if c not in ("account_id", "txn_ts")]
     kinds = {f.name: f.dataType for f in auth.schema.fields + txn.schema.fields}
@@ -189,12 +297,13 @@ def fuse_stream(
         # Floats hold whole numbers up to 2**53 only, hence big ids travel as text.
         return F.col(c).cast("string") if isinstance(kinds[c], T.LongType) else F.col(c)
 
+    # The times that carry the watermark stay behind, or the engine would drop late rows.
     left = txns.select(
-        "account_id", share.alias("key_share"), F.col("txn_ts").alias("mark_ts"),
+        "account_id", share.alias("key_share"),
         F.lit(True).alias("is_txn"), F.unix_micros("txn_ts").alias("txn_us"), *[carried(c).alias(c) for c in own],
     )
     right = logins.select(
-        "account_id", F.explode(shares).alias("key_share"), F.col("event_ts").alias("mark_ts"),
+        "account_id", F.explode(shares).alias("key_share"),
         F.lit(False).alias("is_txn"), F.unix_micros("event_ts").alias("login_us"),
         carried("event_id").alias("last_event_id"), *[carried(c).alias(c) for c in login_cols],
     )
@@ -202,24 +311,30 @@ def fuse_stream(
     sent = {f.name: T.StructField(f.name, f.dataType) for f in both.schema.fields}
     txn_schema = T.StructType([sent[c] for c in ("txn_us", *own)])
     login_schema = T.StructType([sent[c] for c in ("login_us", "last_event_id", *login_cols)])
-    keys = [sent["account_id"]]
-    out = T.StructType(keys + txn_schema.fields + login_schema.fields)
+    told = T.StructType.fromDDL("row_no long, revision long, late boolean")
+    out = T.StructType([sent["account_id"], sent["key_share"]] + told.fields + txn_schema.fields + login_schema.fields)
     matched = both.groupBy("account_id", "key_share").transformWithStateInPandas(
         statefulProcessor=LoginMatcher(
-            txn_schema, login_schema, out.names, isinstance(kinds["event_id"], T.LongType)
+            txn_schema, login_schema, out.names, isinstance(kinds["event_id"], T.LongType),
+            bucket_minutes * 60_000_000, keep_hours * 3_600_000_000,
         ),
         outputStructType=out,
         outputMode="Append",
         timeMode="EventTime",
     )
+
     def restored(c: str, source: str | None = None) -> Column:
         return F.col(c).cast(kinds[source or c])
 
-    return matched.select(
+    keyed_rows = matched.select(
         *[
             F.timestamp_micros("txn_us").alias("txn_ts") if c == "txn_ts" else restored(c)
             for c in txn.columns
         ],
         F.timestamp_micros("login_us").alias("last_auth_ts"),
         restored("last_event_id", "event_id"), *[restored(c) for c in login_cols],
+        "key_share", *TOLD,
     )
+    # A plain copy of the time: rows that pass by must not be taken for late ones.
+    aside = txn.where(~keyed).withColumn("txn_ts", F.timestamp_micros(F.unix_micros("txn_ts")))
+    return keyed_rows.unionByName(aside.select(*txn.columns), allowMissingColumns=True)

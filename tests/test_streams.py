@@ -1,6 +1,8 @@
 """Streams against batch: same rows, no repeats after a restart."""
 
+import random
 import time
+from datetime import timedelta
 
 from frames import at, auth_frame, login, spend, txn_frame
 from pyspark.sql import functions as F
@@ -107,7 +109,7 @@ def test_stream_dedup(spark):
 
 
 def released(spark, root, batches, hot=None):
-    """Runs the stream-stream join over batches of (spends, logins); all released rows."""
+    """Runs the stream-stream join over batches of (spends, logins); the login told last of each spend."""
     asof_stream.use_rocksdb(spark)
     for i, (spends, logins) in enumerate(batches):
         txn_frame(spark, *spends).coalesce(1).write.mode("append").parquet(f"{root}/txn")
@@ -117,7 +119,8 @@ def released(spark, root, batches, hot=None):
             read_table(spark, f"{root}/auth", streaming=True), "10 minutes", hot=hot,
         )
         finish(run.start(stream, f"{root}/out", f"{root}/cp"))
-    return {r.txn_id: r.last_event_id for r in spark.read.parquet(f"{root}/out").collect()}
+    rows = asof_stream.settled(spark.read.parquet(f"{root}/out")).collect()
+    return {r.txn_id: r.last_event_id for r in rows}
 
 
 def test_stream_asof_waits_for_late_logins_over_restarts(spark):
@@ -128,12 +131,74 @@ def test_stream_asof_waits_for_late_logins_over_restarts(spark):
         ([spend("t4", "A", 40)], [login("e4", "A", 40)]),
         ([spend("end", "Z", 90)], [login("eend", "Z", 90)]),
     ]
-    want = {"t1": "e1", "t2": "e2", "t3": "e3", "t4": "e4"}
+    want = {"t1": "e1", "t2": "e2", "t3": "e3", "t4": "e4", "end": "eend"}
     assert released(spark, scratch_path(spark, "asof"), batches) == want
     hot = spark.createDataFrame([("A", 3)], "account_id string, shares int")
     assert released(spark, scratch_path(spark, "asof-hot"), batches, hot) == want
 
 
+def test_stream_asof_loses_no_row(spark):
+    """Late, repeated and keyless rows come out of the stream alone, over restarts; plain version beside it."""
+    rng, batches, logins, spends = random.Random(4), [], [], []
+    for batch in range(5):
+        start = batch * 240
+        minutes = lambda: start + rng.randrange(-300, 60)  # noqa: E731, B023 - up to five hours late
+        new_logins = [login(f"e{batch}-{i}", rng.choice("ABC"), minutes(), fails=i) for i in range(25)]
+        new_spends = [spend(rng.choice(["same", None, f"t{batch}-{i}"]), rng.choice("ABC"), minutes(), float(i)) for i in range(25)]
+        new_spends += [spend(f"n{batch}", None, minutes()), spend("n", "A", None), spend(None, None, None)]
+        batches.append((new_spends, [*new_logins, login(f"x{batch}", None, 0), login(f"y{batch}", "A", None)]))
+        logins += [(r, batch) for r in new_logins]
+        spends += [(r, batch) for r in new_spends]
+    root = scratch_path(spark, "asof-all")
+    released(spark, root, batches)
+    told = spark.read.parquet(f"{root}/out")
+    rows = asof_stream.settled(told).collect()
+    assert len(rows) == len(spends)
+
+    # Plain version: what a spend is told depends on the watermark at its batch.
+    seen, mark, want = [], None, []
+    marks = []
+    for batch in range(5):
+        marks.append(mark)
+        times = [[r[2] for r, b in kind if b <= batch and r[1] and r[2]] for kind in (spends, logins)]
+        mark = min(max(t) for t in times) - timedelta(minutes=10)
+        seen = [r for r, b in logins if b <= batch]
+    for r, b in spends:
+        found = None
+        if r[1] and r[2]:
+            # revised by logins of later batches until the watermark passes the spend's hour
+            hour = r[2].replace(minute=0, second=0, microsecond=0) + timedelta(hours=1)
+            late = marks[b] is not None and r[2] <= marks[b]
+            last = b if late else max(k for k in range(b, 5) if k == b or marks[k] < hour)
+            known = [(x[2], x[0]) for x, k in logins if k <= last and x[1] == r[1] and x[2] <= r[2]]
+            found = max(known, default=(None, None))[1]
+        want.append((r[0], r[1], r[2], r[3], found))
+    got = [(r.txn_id, r.account_id, r.txn_ts, r.amount, r.last_event_id) for r in rows]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert told.where("late").count() and told.where("revision > 0").count()
+
+
+def test_stream_asof_folds_old_logins(spark):
+    root = scratch_path(spark, "asof-fold")
+    asof_stream.use_rocksdb(spark)
+    steps = [
+        ([spend("t1", "A", 0)], [login("e1", "A", -50), login("e2", "A", -5), login("z", "Z", 0)]),
+        ([spend("t2", "Z", 900)], [login("z9", "Z", 900)]),  # e1 and e2 are folded into e2
+        ([spend("t3", "A", 300), spend("t4", "A", -20), spend("t5", "A", 905)], [login("e0", "A", -60)]),
+        ([spend("end", "Z", 2000)], [login("z10", "Z", 2000)]),
+    ]
+    for spends, logins in steps:
+        txn_frame(spark, *spends).coalesce(1).write.mode("append").parquet(f"{root}/txn")
+        auth_frame(spark, *logins).coalesce(1).write.mode("append").parquet(f"{root}/auth")
+        stream = asof_stream.fuse_stream(
+            read_table(spark, f"{root}/txn", streaming=True),
+            read_table(spark, f"{root}/auth", streaming=True), "10 minutes", keep_hours=2,
+        )
+        finish(run.start(stream, f"{root}/out", f"{root}/cp"))
+    rows = asof_stream.settled(spark.read.parquet(f"{root}/out")).where("account_id = 'A'").collect()
+    assert {r.txn_id: r.last_event_id for r in rows} == {"t1": "e2", "t3": "e2", "t4": None, "t5": "e2"}
+
+
 def test_stream_asof_keeps_gaps_and_big_ids(spark):
     root = scratch_path(spark, "asof-gaps")
     big = 2**53 + 1
@@ -152,7 +217,8 @@ def test_stream_asof_keeps_gaps_and_big_ids(spark):
         read_table(spark, f"{root}/auth", streaming=True), "10 minutes",
     )
     finish(run.start(stream, f"{root}/out", f"{root}/cp"))
-    rows = spark.read.parquet(f"{root}/out").where("account_id = 'A'").orderBy("txn_ts").collect()
+    told = asof_stream.settled(spark.read.parquet(f"{root}/out"))
+    rows = told.where("account_id = 'A'").orderBy("txn_ts").collect()
     assert [(r.txn_id - big, r.last_event_id - big, r.failed_attempts_1h, r.ip_geo, r.amount) for r in rows] == [
         (0, 0, 3, "x", None), (1, 1, None, None, 2.5), (2, 2, 7, "y", 20.0),
     ]
