@@ -22,7 +22,7 @@ from .sources import driver_tables as tables
 from .sources import feeds as feed_io
 from .sources import serving, sinks
 from .sources.driver_tables import Feeds, load_feeds
-from .streaming import asof_stream, enrich, run, serving_stream, silver
+from .streaming import asof_stream, enrich, login_index, run, serving_stream, silver
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -725,9 +725,11 @@ def _(spark, sf_dir):
 @query("j5_st3_stream_enrich")
 def _(spark, sf_dir):
     root = scratch_path(spark, "enrich")
+    logins = tables.label_logins(tables.auth_from(_event_stream(spark, sf_dir)), tables.accounts(spark, sf_dir))
+    login_index.start_index(logins, f"{root}/index", f"{root}/logins-checkpoint").awaitTermination()
     enrich.start_enrich(
         tables.txn_from(_event_stream(spark, sf_dir)),
-        lambda s: load_feeds(s, sf_dir).auth,
+        lambda batch: login_index.logins_for(batch, f"{root}/index"),
         lambda s: tables.accounts(s, sf_dir),
         f"{root}/data", f"{root}/checkpoint",
     ).awaitTermination()

@@ -14,26 +14,17 @@ from ..schemas import GOLD_COLUMNS
 from .run import start_batches, write_batch
 
 
-# Accounts of one micro-batch that may be broadcast: 16 bytes each, so 16 MB at most.
-MAX_BROADCAST_ACCOUNTS = 1_000_000
-
-
-def fuse_microbatch(batch: DataFrame, auth_snapshot: DataFrame, accounts: DataFrame) -> DataFrame:
-    """Gold for one micro-batch.
-
-    Counts the accounts of the batch first. If they are few, only their logins
-    and master rows go on; otherwise the whole snapshots do.
-    """
+def fuse_microbatch(batch: DataFrame, logins: DataFrame, accounts: DataFrame) -> DataFrame:
+    """Gold for one micro-batch; only its accounts' logins and master rows go on."""
     ours = batch.select("account_id").distinct()
-    if ours.limit(MAX_BROADCAST_ACCOUNTS + 1).count() <= MAX_BROADCAST_ACCOUNTS:
-        auth_snapshot = auth_snapshot.join(F.broadcast(ours), "account_id", "left_semi")
-        accounts = accounts.join(F.broadcast(ours), "account_id", "left_semi")
-    return fuse(batch, auth_snapshot, accounts).select(*GOLD_COLUMNS)
+    logins = logins.join(ours, "account_id", "left_semi")
+    accounts = accounts.join(ours, "account_id", "left_semi")
+    return fuse(batch, logins, accounts).select(*GOLD_COLUMNS)
 
 
 def start_enrich(
     txn: DataFrame,
-    read_auth: Callable[[SparkSession], DataFrame],
+    logins_of: Callable[[DataFrame], DataFrame],
     read_accounts: Callable[[SparkSession], DataFrame],
     path: str,
     checkpoint: str,
@@ -41,7 +32,8 @@ def start_enrich(
 ) -> StreamingQuery:
     """Enriches a transaction stream and stores gold per micro-batch.
 
-    The snapshots are read anew for every batch. A transaction is enriched once,
+    ``logins_of`` gives the logins that a micro-batch can need, as ``login_index.logins_for``
+    does from an index; both it and the master are asked anew for every batch. A transaction is enriched once,
     with the logins landed by then, and not revised when a login arrives late;
     ``asof_stream.fuse_stream`` waits for late logins instead.
     """
@@ -50,7 +42,7 @@ def start_enrich(
         spark = batch.sparkSession
         held = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            gold = fuse_microbatch(held, read_auth(spark), read_accounts(spark))
+            gold = fuse_microbatch(held, logins_of(held), read_accounts(spark))
             write_batch(gold, batch_id, path)
         finally:
             held.unpersist()

@@ -2,9 +2,10 @@
 
 import random
 import time
-from datetime import timedelta
+from datetime import datetime, timedelta
+from pathlib import Path
 
-from frames import at, auth_frame, login, spend, txn_frame
+from frames import account, account_frame, at, auth_frame, login, spend, txn_frame
 from pyspark.sql import functions as F
 
 from cardwarden.operators.dedup import dedup_stream
@@ -16,7 +17,7 @@ from cardwarden.session import scratch_path
 from cardwarden.sources import driver_tables as tables
 from cardwarden.sources.feeds import read_table, stream_feed
 from cardwarden.sources.serving import latest_per_account
-from cardwarden.streaming import asof_stream, enrich, run, serving_stream, silver
+from cardwarden.streaming import asof_stream, enrich, login_index, run, serving_stream, silver
 
 SF = "/root/testdata/sf0.001"
 
@@ -70,13 +71,77 @@ def test_enrich_stream_equals_batch(spark, feeds):
     txn = read_table(spark, f"{root}/txn", streaming=True, max_files=1)
     for _ in range(2):
         finish(enrich.start_enrich(
-            txn, lambda s: feeds.auth, lambda s: feeds.accounts, f"{root}/out", f"{root}/cp"
+            txn, lambda batch: feeds.auth, lambda s: feeds.accounts, f"{root}/out", f"{root}/cp"
         ))
         got = run.read_batches(spark, f"{root}/out")
         want = g.gold(feeds.txn, feeds.auth, feeds.accounts)
         assert sorted(got.select(*want.columns).collect()) == sorted(want.collect())
 
 
+def test_login_index_reads_own_days_and_the_carry(spark):
+    root = scratch_path(spark, "index")
+    day = 24 * 60
+    rng = random.Random(6)
+    logins = [login(f"e{i}", rng.choice("ABCDE"), rng.uniform(0, 40 * day), fails=i % 5) for i in range(600)]
+    late = [login("late", "F", 3 * day, fails=9), login("none", None, 0), login("untimed", "A", None)]
+    first, second = logins[:400], logins[400:] + late
+    login_index.add_logins(auth_frame(spark, *first), 0, root)
+    login_index.roll(spark, root, _day(30), 0)
+    for _ in range(2):  # a repeated micro-batch
+        login_index.add_logins(auth_frame(spark, *second), 1, root)
+    everything = auth_frame(spark, *logins, *late)
+    accounts = account_frame(spark, *[account(a) for a in "ABCDEF"])
+    spends = [spend(f"t{i}", rng.choice("ABCDEF"), rng.uniform(33 * day, 35 * day), float(i)) for i in range(60)]
+    batches = {
+        "new": spends, "with old ones": [*spends[:5], spend("o1", "A", 31 * day), spend("o2", "F", 2 * day),
+                                        spend("o3", "F", 4 * day), spend("o4", "B", 20 * day), spend("o5", None, day)],
+        "untimed": [spend("u", "A", None)],
+    }
+    for name, rows in batches.items():
+        batch = txn_frame(spark, *rows)
+        want = g.gold(batch, everything, accounts)
+        got = enrich.fuse_microbatch(batch, login_index.logins_for(batch, root), accounts)
+        assert sorted(got.collect(), key=str) == sorted(want.collect(), key=str), name
+
+    batch = txn_frame(spark, *spends)
+    days = {r.d for r in batch.select(login_index.day_of("txn_ts").alias("d")).collect()}
+    stored = sum(f.stat().st_size for f in Path(root, "logins").rglob("*.parquet"))
+    read = _read(spark, login_index.logins_for(batch, root))
+    assert 0 < read["logins"][0] <= 2 * len(days) and 0 < read["logins"][1] < stored * (len(days) + 1) / 40
+    assert read["carry"][0] > 0
+    # One row per account for the days since the carry, and for those of later micro-batches.
+    folders = Path(root, "last").glob("day=*/batch_id=*/*.parquet")
+    open_days = [f for f in folders if int(f.parts[-3][4:]) >= _day(30) or f.parts[-2] == "batch_id=1"]
+    assert 0 < read["last"][0] <= len(open_days)
+    login_index.roll(spark, root, _day(33), 1)  # a carry made from the carry before it
+    again = login_index.logins_for(batch, root)
+    got = enrich.fuse_microbatch(batch, again, accounts)
+    assert sorted(got.collect()) == sorted(g.gold(batch, everything, accounts).collect())
+    assert _read(spark, login_index.logins_for(batch, root))["last"][0] <= 2
+
+
+def _read(spark, df):
+    """(files, bytes) that a query read, by the folder below the index."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df.collect()
+        leaves, found = df._jdf.queryExecution().executedPlan().collectLeaves(), {}
+        for i in range(leaves.size()):
+            if (leaf := leaves.apply(i)).nodeName().startswith("Scan parquet"):
+                folder = leaf.relation().location().rootPaths().head().getName()
+                files, size = found.get(folder, (0, 0))
+                count = lambda name: leaf.metrics().apply(name).value()  # noqa: E731, B023
+                found[folder] = files + count("numFiles"), size + count("filesSize")
+        return found
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def _day(n):
+    """The day of the time n days after T0."""
+    return int((at(n * 24 * 60) - datetime(1970, 1, 1)).days)
+
+
 def test_repeated_batch_is_replaced(spark):
     root = scratch_path(spark, "repeat")
     for _ in range(2):
