@@ -20,9 +20,9 @@ from .schemas import GOLD_COLUMNS, TXN_RAW
 from .session import configure, enable_checkpoints, scratch_path
 from .sources import driver_tables as tables
 from .sources import feeds as feed_io
-from .sources import serving, sinks
+from .sources import serving, sinks, versioned
 from .sources.driver_tables import Feeds, load_feeds
-from .streaming import asof_stream, enrich, login_index, run, serving_stream, silver
+from .streaming import asof_stream, enrich, login_index, run, silver
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -638,8 +638,8 @@ def _(spark, sf_dir):
 @query("s5_serving_sink")
 def _(spark, sf_dir):
     f, path = load_feeds(spark, sf_dir), scratch_path(spark, "serving")
-    serving.write_serving(serving.latest_per_account(_scored(f)), path)
-    return serving.read_serving(spark, path)
+    versioned.publish(_scored(f), path)
+    return versioned.read(spark, path)
 
 
 @query("s6_case_table_sink")
@@ -764,17 +764,22 @@ def _(spark, sf_dir):
     root = scratch_path(spark, "upsert")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        f, held = load_feeds(batch.sparkSession, sf_dir), batch.persist()
+        # Three upserts of a micro-batch, two of them folded: readers see base and open batch.
+        f, held, parts = load_feeds(batch.sparkSession, sf_dir), batch.persist(), 3
         try:
-            gold = enrich.fuse_microbatch(held, f.auth, f.accounts)
-            serving_stream.upsert_serving(scoring.rule_score(gold), batch_id, root)
+            scored = scoring.rule_score(enrich.fuse_microbatch(held, f.auth, f.accounts))
+            for part in range(parts):
+                own = scored.where(F.pmod(F.xxhash64("txn_id"), F.lit(parts)) == part)
+                versioned.upsert(own, batch_id * parts + part, root)
+                if part < parts - 1:
+                    versioned.compact(batch.sparkSession, root)
         finally:
             held.unpersist()
 
     run.start_batches(
         tables.txn_from(_event_stream(spark, sf_dir)), handle, f"{root}/checkpoint"
     ).awaitTermination()
-    return serving_stream.read_serving_stream(spark, root)
+    return versioned.read(spark, root)
 
 
 def queries() -> dict[str, Query]:

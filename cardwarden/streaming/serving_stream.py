@@ -1,56 +1,27 @@
-"""Continuous upkeep of the serving table.
-
-Every micro-batch adds its newest row per account in a folder of its own; the
-cost follows the batch, not the table. Readers take the newest row per account
-over all folders, and ``compact_serving`` folds them into a base now and then.
-The newest row overall is the same however often a batch is added, so repeats
-and a compaction that runs beside the stream change nothing.
-"""
+"""Continuous upkeep of the serving table from a scored stream."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from ..sources.serving import latest_per_account
-from .run import BATCH, start_batches
+from ..sources import versioned
+from .run import start_batches
 
-DELTA = "delta"
 
+def start_serving(
+    scored: DataFrame, path: str, checkpoint: str, trigger: str | None = None,
+    compact_every: int | None = 100,
+) -> StreamingQuery:
+    """Upserts every micro-batch into the versioned table at ``path``.
 
-def upsert_serving(batch: DataFrame, batch_id: int, path: str) -> None:
-    """Adds a scored micro-batch to the serving table."""
-    newest = latest_per_account(batch)
-    newest.repartitionByRange("account_id").sortWithinPartitions("account_id").write.mode(
-        "overwrite"
-    ).parquet(f"{path}/{DELTA}/{BATCH}={batch_id}")
+    Every ``compact_every`` micro-batches the open ones are folded into the base, so a
+    reader opens the base and so many small folders, however old the stream is.
+    """
 
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        versioned.upsert(batch, batch_id, path)
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            versioned.compact(batch.sparkSession, path)
 
-def start_serving(
-    scored: DataFrame, path: str, checkpoint: str, trigger: str | None = None
-) -> StreamingQuery:
-    """Keeps the serving table up to date from a scored stream."""
-    return start_batches(
-        scored, lambda batch, batch_id: upsert_serving(batch, batch_id, path), checkpoint, trigger
-    )
-
-
-def read_serving_stream(
-    spark: SparkSession, path: str, base: str | None = None
-) -> DataFrame:
-    """The newest row per account over the stored batches and, if given, a compacted base."""
-    root = f"{path}/{DELTA}"
-    rows = spark.read.option("basePath", root).parquet(root).drop(BATCH)
-    if base:
-        rows = rows.unionByName(spark.read.parquet(base))
-    return latest_per_account(rows)
-
-
-def compact_serving(
-    spark: SparkSession, path: str, new_base: str, old_base: str | None = None
-) -> None:
-    """Folds all batches and the old base into a new base folder."""
-    folded = read_serving_stream(spark, path, old_base)
-    folded.repartitionByRange("account_id").sortWithinPartitions("account_id").write.mode(
-        "overwrite"
-    ).parquet(new_base)
+    return start_batches(scored, handle, checkpoint, trigger)

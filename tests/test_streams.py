@@ -3,9 +3,12 @@
 import random
 import time
 from datetime import datetime, timedelta
+from functools import reduce
 from pathlib import Path
 
 from frames import account, account_frame, at, auth_frame, login, spend, txn_frame
+import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardwarden.operators.dedup import dedup_stream
@@ -15,6 +18,7 @@ from cardwarden.plans import scoring
 from cardwarden.schemas import TXN_RAW
 from cardwarden.session import scratch_path
 from cardwarden.sources import driver_tables as tables
+from cardwarden.sources import versioned
 from cardwarden.sources.feeds import read_table, stream_feed
 from cardwarden.sources.serving import latest_per_account
 from cardwarden.streaming import asof_stream, enrich, login_index, run, serving_stream, silver
@@ -150,18 +154,98 @@ def test_repeated_batch_is_replaced(spark):
     assert run.read_batches(spark, root).count() == 5
 
 
-def test_serving_upsert_and_compaction(spark, feeds):
+def test_serving_versions(spark, feeds, monkeypatch):
     root = scratch_path(spark, "serving")
+    scored = scoring.rule_score(g.fuse(feeds.txn, feeds.auth, feeds.accounts)).persist()
+    parts = [scored.where(F.pmod(F.xxhash64("txn_id"), F.lit(5)) == i) for i in range(5)]
+
+    def holds(*batches):
+        want = latest_per_account(reduce(DataFrame.unionByName, [parts[i] for i in batches]))
+        table = versioned.read(spark, root)
+        assert sorted(table.collect()) == sorted(want.collect())
+        return table
+
+    with pytest.raises(ValueError):
+        versioned.read(spark, root)
+    versioned.upsert(parts[0], 0, root)
+    versioned.upsert(parts[0], 0, root)  # a repeated micro-batch
+    holds(0)
+    versioned.upsert(parts[1], 1, root)
+    versioned.compact(spark, root)
+    first = versioned.current(spark, root)
+    assert (first.number, first.folded) == (1, {0, 1})
+    folder = f"/bases/{first.base}/"
+    assert all(folder in f for f in holds(0, 1).inputFiles())  # the base alone
+    versioned.upsert(parts[1], 1, root)  # repeated after it was folded
+    versioned.upsert(parts[2], 2, root)
+    read = {f.rsplit("/", 2)[0].rsplit("/", 1)[1] for f in holds(0, 1, 2).inputFiles()}
+    assert read == {"bases", "batches"}
+
+    # A compaction that dies before the switch leaves the table as it was.
+    with monkeypatch.context() as broken:
+        broken.setattr(versioned, "_switch", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            versioned.compact(spark, root)
+    assert versioned.current(spark, root) == first
+    holds(0, 1, 2)
+
+    # An upsert while a compaction runs is in neither its base nor its list, and stays.
+    store = versioned._store
+
+    def slow(rows, path):
+        store(rows, path)
+        if "/bases/" in path:
+            monkeypatch.setattr(versioned, "_store", store)
+            versioned.upsert(parts[3], 3, root)
+
+    monkeypatch.setattr(versioned, "_store", slow)
+    versioned.compact(spark, root)
+    assert versioned.current(spark, root).number == 2
+    holds(0, 1, 2, 3)
+    # Two compactions side by side: both bring a row of one version, either is right.
+    before = versioned.current(spark, root)
+    versioned.compact(spark, root)
+    batches = versioned._open_batches(spark, root, before)
+    store(holds(0, 1, 2, 3), f"{root}/bases/0")
+    versioned._switch(spark, root, before, "0", batches)
+    assert versioned.current(spark, root).base == "0"
+    versioned.upsert(parts[4], 4, root)
+    versioned.compact(spark, root)
+    versioned.vacuum(spark, root, keep=1)
+    holds(0, 1, 2, 3, 4)
+    assert len(list(Path(root, "bases").iterdir())) == len(list(Path(root, "versions").iterdir())) == 1
+    versioned.publish(parts[2], root)
+    holds(2)
+    scored.unpersist()
+
+
+def test_serving_upsert_says_again_when_the_version_moves(spark, feeds, monkeypatch):
+    root = scratch_path(spark, "serving-moves")
     scored = scoring.rule_score(g.fuse(feeds.txn, feeds.auth, feeds.accounts))
-    want = sorted(latest_per_account(scored).collect())
-    halves = [scored.where("txn_id % 2 = 0"), scored.where("txn_id % 2 = 1")]
-    for batch_id in (0, 1, 1):
-        serving_stream.upsert_serving(halves[batch_id], batch_id, root)
-    assert sorted(serving_stream.read_serving_stream(spark, root).collect()) == want
-    serving_stream.compact_serving(spark, root, f"{root}/base-1")
-    serving_stream.upsert_serving(halves[0], 2, root)
-    both = serving_stream.read_serving_stream(spark, root, f"{root}/base-1")
-    assert sorted(both.collect()) == want
+    versioned.upsert(scored.where("txn_id % 2 = 0"), 0, root)
+    say, done = versioned._say, []
+
+    def later(row, path):
+        if not done:  # the version moves between the look and the word
+            done.append(1)
+            versioned.compact(spark, root)
+            versioned.compact(spark, root)
+        say(row, path)
+
+    monkeypatch.setattr(versioned, "_say", later)
+    versioned.upsert(scored.where("txn_id % 2 = 1"), 1, root)
+    assert sorted(versioned.read(spark, root).collect()) == sorted(latest_per_account(scored).collect())
+
+
+def test_serving_stream_compacts(spark, feeds):
+    root = scratch_path(spark, "serving-stream")
+    scored = scoring.rule_score(g.fuse(feeds.txn, feeds.auth, feeds.accounts))
+    scored.repartition(4).write.parquet(f"{root}/in")
+    stream = read_table(spark, f"{root}/in", streaming=True, max_files=1)
+    finish(serving_stream.start_serving(stream, f"{root}/table", f"{root}/cp", compact_every=2))
+    assert versioned.current(spark, f"{root}/table").number == 2
+    want = latest_per_account(spark.read.parquet(f"{root}/in"))
+    assert sorted(versioned.read(spark, f"{root}/table").collect()) == sorted(want.collect())
 
 
 def test_stream_dedup(spark):
