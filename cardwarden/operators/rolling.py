@@ -93,9 +93,14 @@ def rolling_sums(
 ) -> DataFrame:
     """Adds one bigint column per spec: the sum over the key's rows in the span up to the row."""
     split = split or split_hot_keys([(df, ts)], by)
+    # A row without a time sorts before all others, and must not enter their sums.
+    timed = F.col(ts).isNotNull()
     rows = df.withColumns({
         "_us": F.unix_micros(ts),
-        **{f"_v{i}": F.coalesce(s.value.cast("bigint"), F.lit(0)) for i, s in enumerate(specs)},
+        **{
+            f"_v{i}": F.when(timed, F.coalesce(s.value.cast("bigint"), F.lit(0))).otherwise(0)
+            for i, s in enumerate(specs)
+        },
     })
     return _sweep(rows, None, by, specs, split, mirrored=False)
 
@@ -132,7 +137,7 @@ def _vs_avg(days: int) -> list[Rolling]:
     ]
 
 
-def _add_vs_avg(df: DataFrame) -> DataFrame:
+def add_vs_avg(df: DataFrame) -> DataFrame:
     """amount / (sum / count) to 4 decimals, half up, in whole numbers: neither the size of
     the products nor the last bit of a quotient can spoil it."""
     ratio = F.expr("""(cast(_own AS decimal(19,0)) * cast(_n AS decimal(14,0)) * 20000 + _c)
@@ -146,7 +151,7 @@ def _add_vs_avg(df: DataFrame) -> DataFrame:
 
 def amount_vs_avg(df: DataFrame, days: int = 30, split: KeySplit | None = None) -> DataFrame:
     """``amount_vs_30d_avg``: amount over the account's mean amount before it; null without history."""
-    return _add_vs_avg(rolling_sums(df, "account_id", "txn_ts", _vs_avg(days), split))
+    return add_vs_avg(rolling_sums(df, "account_id", "txn_ts", _vs_avg(days), split))
 
 
 def card_test_burst(
@@ -169,7 +174,7 @@ def spend_features(df: DataFrame, split: KeySplit | None = None) -> DataFrame:
         Rolling("small_txns_1h", small, 3600),
         *_vs_avg(30),
     ]
-    return _add_vs_avg(rolling_sums(df, "account_id", "txn_ts", specs, split))
+    return add_vs_avg(rolling_sums(df, "account_id", "txn_ts", specs, split))
 
 
 def failed_attempts(

@@ -434,6 +434,11 @@ _SQL: dict[str, tuple[str, str]] = {
     "f6_f7_login_labels": (_BASE, "SELECT event_id, ip_geo, geo_is_new, ato_label FROM auth"),
     "f8_txn_velocity": (_BASE, f"SELECT txn_id, {_VELOCITY} AS txn_velocity_1h FROM txn"),
     "f9_amount_vs_avg": (_BASE, f"SELECT txn_id, {_VS_AVG} AS amount_vs_30d_avg FROM txn"),
+    "f9_w3_gold_tiles": (
+        _SCORED,
+        f"""SELECT {_GOLD_COLUMNS}, {_VELOCITY} AS txn_velocity_1h,
+              {_VS_AVG} AS amount_vs_30d_avg, risk_score FROM scored""",
+    ),
     "f10_card_test_burst": (
         _BASE,
         f"""SELECT txn_id, n AS small_txns_1h, CAST(n >= 2 AS INTEGER) AS card_test_burst

@@ -15,7 +15,7 @@ from .operators.contributors import top_contributors
 from .operators.quality import RULES, apply_rules, flag_warnings, rule_report, to_silver
 from .plans import cases as case_ops
 from .plans import gold as gold_ops
-from .plans import governance, kpis, questions, scoring
+from .plans import gold_store, governance, kpis, questions, scoring
 from .schemas import GOLD_COLUMNS, TXN_RAW
 from .session import configure, enable_checkpoints, scratch_path
 from .sources import driver_tables as tables
@@ -298,6 +298,13 @@ def _(f):
     return rolling.amount_vs_avg(f.txn, split=f.split).select("txn_id", "amount_vs_30d_avg")
 
 
+@query("f9_w3_gold_tiles")
+def _(spark, sf_dir):
+    f, path = load_feeds(spark, sf_dir), scratch_path(spark, "gold-store")
+    gold_store.write_days(gold_ops.gold(f.txn, f.auth, f.accounts, f.split), path)
+    return gold_store.features(spark, path)
+
+
 @query("f10_card_test_burst")
 def _(f):
     out = rolling.card_test_burst(f.txn, seconds=86_400, split=f.split)
