@@ -713,6 +713,7 @@ _SQL["j6_st5_stream_asof"] = (
        FROM txn t ASOF LEFT JOIN auth a
        ON t.account_id = a.account_id AND t.txn_ts >= a.event_ts""",
 )
+_SQL["st6_velocity_per_row"] = _SQL["f8_txn_velocity"]
 _SQL["st6_velocity_stream"] = (
     _BASE,
     """SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, account_id,

@@ -22,7 +22,7 @@ from .sources import driver_tables as tables
 from .sources import feeds as feed_io
 from .sources import serving, sinks, versioned
 from .sources.driver_tables import Feeds, load_feeds
-from .streaming import asof_stream, enrich, login_index, run, silver
+from .streaming import asof_stream, enrich, login_index, row_velocity, run, silver
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -766,6 +766,17 @@ def _(spark, sf_dir):
     return silver.with_open_windows(closed, load_feeds(spark, sf_dir).txn)
 
 
+@query("st6_velocity_per_row")
+def _(spark, sf_dir):
+    asof_stream.use_rocksdb(spark)
+    root = scratch_path(spark, "row-velocity")
+    txn = tables.txn_from(_event_stream(spark, sf_dir)).select("txn_id", "account_id", "txn_ts")
+    stream = row_velocity.velocity_per_row(txn)
+    run.start(stream, f"{root}/data", f"{root}/checkpoint").awaitTermination()
+    told = spark.read.schema(stream.schema).parquet(f"{root}/data")
+    return row_velocity.settled(told).select("txn_id", "txn_velocity_1h")
+
+
 @query("st7_serving_upsert")
 def _(spark, sf_dir):
     root = scratch_path(spark, "upsert")

@@ -21,7 +21,7 @@ from cardwarden.sources import driver_tables as tables
 from cardwarden.sources import versioned
 from cardwarden.sources.feeds import read_table, stream_feed
 from cardwarden.sources.serving import latest_per_account
-from cardwarden.streaming import asof_stream, enrich, login_index, run, serving_stream, silver
+from cardwarden.streaming import asof_stream, enrich, login_index, row_velocity, run, serving_stream, silver
 
 SF = "/root/testdata/sf0.001"
 
@@ -373,6 +373,31 @@ def test_stream_asof_keeps_gaps_and_big_ids(spark):
     ]
 
 
+def test_velocity_per_row_with_late_rows(spark):
+    rng, root, every = random.Random(9), scratch_path(spark, "row-velocity"), []
+    asof_stream.use_rocksdb(spark)
+    for batch in range(3):
+        start = batch * 120
+        rows = [spend(f"t{batch}-{i}", rng.choice("AAB"), start + rng.choice([-200, -90, -30, 0]) + rng.random() * 60, float(i))
+                for i in range(30)]
+        rows += [spend("same", "A", start, 1.0), spend("same", "A", start, 1.0), spend(None, "B", start + 60)]
+        rows += [spend("n", None, start), spend("m", "A", None)]
+        every += rows
+        txn_frame(spark, *rows).coalesce(1).write.mode("append").parquet(f"{root}/in")
+        stream = row_velocity.velocity_per_row(read_table(spark, f"{root}/in", streaming=True), "10 minutes")
+        finish(run.start(stream, f"{root}/out", f"{root}/cp"))
+    told = spark.read.parquet(f"{root}/out")
+    hour = timedelta(hours=1)
+    want = [
+        (r[0], r[1], r[2], r[3], None if None in r[1:3] else sum(
+            o[1] == r[1] and o[2] is not None and r[2] - hour <= o[2] <= r[2] for o in every))
+        for r in every
+    ]
+    got = [(r.txn_id, r.account_id, r.txn_ts, r.amount, r.txn_velocity_1h) for r in row_velocity.settled(told).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert told.where("revision > 0").count() and not told.where("NOT whole_history").count()
+
+
 def test_velocity_windows(spark):
     root = scratch_path(spark, "velocity")
     txn_frame(spark, spend("a", "A", 0, 1.0), spend("b", "A", 20, 2.0), spend("z", "B", 600)).coalesce(
