@@ -41,6 +41,13 @@ def union_distinct(dfs: Sequence[DataFrame], key: str) -> DataFrame:
     )
 
 
-def dedup_stream(df: DataFrame, key: str, ts: str, delay: str) -> DataFrame:
-    """Drops repeated deliveries of an event that arrive within the watermark delay."""
-    return df.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
+def dedup_stream(df: DataFrame, key: str, ts: str, delay: str, shares: int = 64) -> DataFrame:
+    """Drops repeated deliveries of an event that arrive within the watermark delay.
+
+    Two levels: the first copy of each id and share, where a share is some of the input
+    partitions, then the first of each id. So an id that a third of all rows have meets
+    in ``shares`` tasks, and only one row of each goes on to the last.
+    """
+    marked = df.withWatermark(ts, delay).withColumn("_share", F.spark_partition_id() % shares)
+    once = marked.dropDuplicatesWithinWatermark([key, "_share"]).drop("_share")
+    return once.dropDuplicatesWithinWatermark([key])

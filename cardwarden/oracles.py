@@ -256,13 +256,18 @@ def _psi() -> str:
         + " END AS bin FROM fused"
         for name, cuts in _PSI_EDGES
     )
+    empty = " UNION ALL ".join(
+        f"SELECT '{name}', {len(cuts) + 2}, unnest(range(-1, {len(cuts) + 1})), 0, 0" for name, cuts in _PSI_EDGES
+    )
     return f"""SELECT feature, CAST(sum(nb) AS BIGINT) AS n_base, CAST(sum(nc) AS BIGINT) AS n_current,
       round(sum((pc - pb) * ln(pc / pb)), 6) AS psi FROM (
         SELECT feature, nb, nc,
           (nb + 0.5::DOUBLE) / (sum(nb) OVER (PARTITION BY feature) + 0.5::DOUBLE * bins) AS pb,
           (nc + 0.5::DOUBLE) / (sum(nc) OVER (PARTITION BY feature) + 0.5::DOUBLE * bins) AS pc
-        FROM (SELECT feature, bins, bin, count(*) FILTER (NOT cur) AS nb,
-                count(*) FILTER (cur) AS nc FROM ({entries}) GROUP BY ALL))
+        FROM (SELECT feature, bins, bin, sum(nb) AS nb, sum(nc) AS nc FROM (
+                SELECT feature, bins, bin, count(*) FILTER (NOT cur) AS nb,
+                  count(*) FILTER (cur) AS nc FROM ({entries}) GROUP BY ALL
+                UNION ALL {empty}) GROUP BY ALL))
       GROUP BY feature"""
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.risk import split_codes
 from ..schemas import FEATURES, MODEL_CARD
+from ..session import enable_checkpoints
 
 MODEL_VERSION = "fused_gbm_v1"
 RULE_VERSION = "rule_points_v1"
@@ -152,20 +153,27 @@ def rule_score(df: DataFrame, version: str = RULE_VERSION) -> DataFrame:
     )
 
 
-def roc_auc(
-    df: DataFrame, label: str = "fraud_label", score_col: str = "risk_score", digits: int = 4
-) -> DataFrame:
+def score_ranges(per_score: DataFrame) -> DataFrame:
+    """Rows dealt out in ranges of ``_s`` that follow its distribution, numbered by ``_range`` and stored."""
+    spark = per_score.sparkSession
+    enable_checkpoints(spark)
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = per_score.repartitionByRange(ranges, "_s").withColumn("_range", F.spark_partition_id())
+    return dealt.checkpoint()  # the ranges follow a sample, so they are settled once
+
+
+def roc_auc(df: DataFrame, label: str = "fraud_label", score_col: str = "risk_score") -> DataFrame:
     """Exact area under the ROC curve of the unrounded score, ties counted half.
 
-    Rows are first counted per score value. Values are ordered inside ranges of
-    the score, of which there are at most 10**digits + 1, and one small ordered
-    pass over the ranges adds what lies below each.
+    Rows are first counted per score value. The values are dealt out in ranges that hold
+    about as many values each, however the scores are distributed; each range orders its
+    own, and one small ordered pass over the ranges adds what lies below each.
     """
     wide = "decimal(19,0)"
-    per_score = df.groupBy(F.col(score_col).alias("_s")).agg(
+    per_score = score_ranges(df.groupBy(F.col(score_col).alias("_s")).agg(
         F.count_if(F.col(label) == 1).cast("decimal(18,0)").alias("pos"),
         F.count_if(F.col(label) == 0).cast(wide).alias("neg"),
-    ).withColumn("_range", F.coalesce(F.floor(F.col("_s") * 10**digits), F.lit(-1)))
+    ))
     below = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     ranges = per_score.groupBy("_range").agg(F.sum("neg").alias("_all")).select(
         "_range", F.coalesce(F.sum("_all").over(below), F.lit(0)).alias("_below")
@@ -264,7 +272,8 @@ def psi(
     """Population stability index per feature between the base rows and the current rows.
 
     One pass: every row adds one count per feature, combined before the shuffle.
-    A missing value has a bin of its own (-1); ``smooth`` is added to each count.
+    A missing value has a bin of its own (-1); ``smooth`` is added to each count, and a
+    bin that is empty on both sides counts like any other.
     """
     edges = edges or PSI_EDGES
     bins, bin_counts = [], F.lit(0)
@@ -283,6 +292,13 @@ def psi(
             F.count_if(~F.col("_cur")).alias("n_base"), F.count_if(F.col("_cur")).alias("n_cur")
         )
     )
+    zero = F.lit(0).cast("long")
+    every = df.sparkSession.createDataFrame(
+        [(name, b) for name, cuts in edges.items() for b in range(-1, len(cuts) + 1)], "feature string, bin int"
+    ).withColumns({"n_base": zero, "n_cur": zero})
+    counts = counts.unionByName(every).groupBy("feature", "bin").agg(
+        F.sum("n_base").alias("n_base"), F.sum("n_cur").alias("n_cur")
+    )
     whole = Window.partitionBy("feature")
     share = {
         side: (F.col(f"n_{side}") + smooth)

@@ -49,23 +49,38 @@ def read_batches(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("basePath", path).parquet(path).drop(BATCH)
 
 
+METRICS = "query_id string, name string, batch_id long, counts map<string,bigint>"
+
+
 class RuleMetrics(StreamingQueryListener):
-    """Keeps the last counts that observed streams reported, by name and micro-batch."""
+    """Adds the counts that observed streams report to a table, a row per name and micro-batch.
+
+    A micro-batch that is repeated after a restart reports again; ``read_metrics`` takes
+    one row of each.
+    """
 
-    def __init__(self, keep: int = 1000):
-        self.keep = keep
-        self.counts: list[tuple[str, int, dict]] = []
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
 
     def onQueryStarted(self, event):  # noqa: N802
         pass
 
     def onQueryProgress(self, event):  # noqa: N802
-        for name, row in event.progress.observedMetrics.items():
-            self.counts.append((name, event.progress.batchId, row.asDict()))
-        del self.counts[: -self.keep]
+        progress = event.progress
+        rows = [
+            (str(progress.id), name, progress.batchId, {k: v for k, v in row.asDict().items() if v is not None})
+            for name, row in progress.observedMetrics.items()
+        ]
+        if rows:
+            self.spark.createDataFrame(rows, METRICS).coalesce(1).write.mode("append").parquet(self.path)
 
     def onQueryIdle(self, event):  # noqa: N802
         pass
 
     def onQueryTerminated(self, event):  # noqa: N802
         pass
+
+
+def read_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """(query_id, name, batch_id, counts): the stored counts, one row per name and micro-batch."""
+    return spark.read.schema(METRICS).parquet(path).dropDuplicates(["query_id", "name", "batch_id"])

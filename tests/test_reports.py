@@ -1,5 +1,7 @@
 """Contributors, masks, model metrics, cases, narratives and KPIs."""
 
+import math
+
 import pandas as pd
 import pytest
 from frames import at, demo, spend, txn_frame
@@ -189,3 +191,24 @@ def test_sweep_agrees_with_single_threshold(spark, feeds):
     one = kpis.shadow_eval(scored, 0.3)
     many = kpis.threshold_sweep(scored, [0.1, 0.3]).where("threshold = 0.3").drop("threshold")
     assert sorted(one.collect()) == sorted(many.select(*one.columns).collect())
+
+
+def test_auc_ranges_follow_the_scores(spark):
+    # Nine tenths of the scores lie in a ten-thousandth of their span.
+    rows = spark.range(20_000).select(
+        F.when(F.col("id") % 10 < 9, 0.5 + F.col("id") / 1e9).otherwise(F.col("id") / 20_000).alias("_s")
+    )
+    sizes = [r["count"] for r in scoring.score_ranges(rows).groupBy("_range").count().collect()]
+    assert sum(sizes) == 20_000 and max(sizes) <= 3 * 20_000 / len(sizes) and len(sizes) > 1
+    odd = spark.createDataFrame([(None, 1), (0.1, 0), (float("nan"), 1), (0.1, 1)], "risk_score double, fraud_label int")
+    assert scoring.roc_auc(odd).first().n_pos == 3
+    assert scoring.roc_auc(odd.limit(0)).first().roc_auc is None
+
+
+def test_psi_counts_bins_that_are_empty_on_both_sides(spark):
+    rows = spark.createDataFrame([(1.0, False), (1.0, True), (1.0, True), (9.0, True)], "x double, cur boolean")
+    got = scoring.psi(rows, F.col("cur"), {"x": [0, 5, 100]}).first()
+    base, cur = [0, 0, 1, 0, 0], [0, 0, 2, 1, 0]  # missing, below 0, to 5, to 100, above
+    p, q = [(n + 0.5) / 3.5 for n in base], [(n + 0.5) / 5.5 for n in cur]
+    assert got.psi == pytest.approx(sum((b - a) * math.log(b / a) for a, b in zip(p, q)), abs=1e-6)
+    assert (got.n_base, got.n_current) == (1, 3)
