@@ -704,6 +704,8 @@ _SQL["n4_q6_loss_avoided"] = (
 _SQL["n4_q8_loss_and_fp"] = _SQL["a13_daily_loss_and_fp"]
 
 
+for _name in ("j1_asof_fuse", "j7_login_then_spend", "f9_amount_vs_avg", "f11_geo_impossible"):
+    _SQL[f"{_name}_sliced"] = _SQL[_name]
 _SQL["s1_csv_feed"] = _SQL["st2_silver_stream"] = _SQL["p2_drop_rules_txn"]
 _SQL["s4_gold_sink"] = _SQL["j5_st3_stream_enrich"] = _SQL["j1_asof_fuse"]
 _SQL["s5_serving_sink"] = _SQL["st7_serving_upsert"] = _SQL["a4_latest_per_account"]

@@ -31,6 +31,7 @@ ACCOUNT = 7
 PILOT_THRESHOLD = 0.3
 
 _QUERIES: dict[str, Query] = {}
+_PLAIN: dict[str, Callable] = {}  # the functions as they are written below
 
 
 def query(name: str) -> Callable[[Callable], Callable]:
@@ -44,6 +45,7 @@ def query(name: str) -> Callable[[Callable], Callable]:
             return portable(fn(*args))
 
         _QUERIES[name] = run
+        _PLAIN[name] = fn
         return fn
 
     return keep
@@ -701,6 +703,21 @@ def _(spark, sf_dir):
     )
 
 
+# --- the same queries with busy accounts cut into many slices, as on a large cluster -----
+
+SLICED = ("j1_asof_fuse", "j7_login_then_spend", "f9_amount_vs_avg", "f11_geo_impossible")
+
+
+def _register_sliced(name: str, plain: Callable) -> None:
+    @query(f"{name}_sliced")
+    def _(spark, sf_dir):
+        return plain(load_feeds(spark, sf_dir, hot_rows=40, slice_rows=8))
+
+
+for _name in SLICED:
+    _register_sliced(_name, _PLAIN[_name])
+
+
 # --- streams: run over what is there, then read the result ---------------------------
 
 

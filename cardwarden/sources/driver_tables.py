@@ -166,10 +166,10 @@ class Feeds:
     split: KeySplit
 
 
-def load_feeds(spark: SparkSession, sf_dir: str) -> Feeds:
-    """All three feeds over the whole tables."""
+def load_feeds(spark: SparkSession, sf_dir: str, **split_sizes: int) -> Feeds:
+    """All three feeds over the whole tables; ``split_sizes`` go to ``split_hot_keys``."""
     accts = accounts(spark, sf_dir)
     rows = events(spark, sf_dir)
     timed = rows.selectExpr("user_id AS account_id", "cast(ts AS timestamp) AS ts")
-    split = split_hot_keys([(timed, "ts")], "account_id")
+    split = split_hot_keys([(timed, "ts")], "account_id", **split_sizes)
     return Feeds(label_logins(auth_from(rows), accts, split), txn_from(rows), accts, split)
