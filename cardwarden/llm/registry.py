@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardwarden.llm import (
-    article, bpe_count, decontam, hnsw, langid, licenses, manifest, packing, quotes, simhash, suffixes, toxicity, trie,
+    article, bpe_count, decontam, hnsw, langid, licenses, manifest, packing, quotes, simhash, suffixes, toxicity, trie, twins,
 )
 from cardwarden.llm.frames import crc_of_id, read_table
 
@@ -129,4 +129,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op12_conversation_trie": twins.TRIE, "op13_manifest": twins.MANIFEST}
