@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-TOGETHER = 1 << 22  # bytes of text whose chunks are numbered together
+TOGETHER = 1 << 21  # bytes of text whose chunks are numbered together
 
 
 def taken(flat: np.ndarray, start: np.ndarray, size: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardwarden.llm.chunks import groups, numbered_words
-from cardwarden.llm.frames import keyed_rows, same_row, texts, written
+from cardwarden.llm.frames import give_back, keyed_rows, same_row, texts, written
 
 SEED_WORDS = 3
 SHORT_ITEM = 6  # an item with fewer words is only found by its phrases
@@ -346,6 +346,7 @@ def _search(seeds: Seeds, threshold: float):
                 yield pa.RecordBatch.from_pylist(found, FOUND)
         seen = np.flatnonzero(total).tolist()
         yield pa.RecordBatch.from_pylist([{"seed": k, "n": int(total[k])} for k in seen], FOUND)
+        give_back()
 
     return search
 

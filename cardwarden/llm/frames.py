@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import sys
 from types import ModuleType
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,3 +63,10 @@ def process_table(name: str) -> dict:
     """
     module = sys.modules.setdefault(f"_cardwarden_{name}", ModuleType(name))
     return vars(module).setdefault("table", {})
+
+
+def give_back() -> None:
+    """Returns memory that the task is done with; its process lives on, beside other stages' data."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # where the C library has no such call
+        ctypes.CDLL("libc.so.6").malloc_trim(0)

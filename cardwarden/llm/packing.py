@@ -29,11 +29,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardwarden.llm.chunks import groups, offsets, taken
-from cardwarden.llm.frames import process_table, written
+from cardwarden.llm.frames import give_back, process_table, written
 
 CAPACITY = 4096
 END_ID = 1  # closes every document
-KEPT_WORDS = 400_000  # words whose ids a Python process remembers, besides those of the texts at hand
+KEPT_WORDS = 250_000  # words whose ids a task remembers, besides those of the texts at hand
+COMMON_WORDS = 60_000  # words that a Python process remembers from task to task
 RANK_BUCKETS = 64
 
 # Fixed: how the vocabulary splits lower-cased text, for the characters of plain text (below).
@@ -57,8 +58,8 @@ class Ids:
     tokenizer's merges many at a time. A chunk that is not plain counts as one word and
     goes to the whole tokenizer as it stands.
 
-    Words' ids lie one after another in ``flat``. A full table starts anew with the
-    words of the texts at hand, so common ones stay.
+    Words' ids lie one after another in ``flat``. A full table drops the words it has met
+    once, and then the least met, down to half its size.
     """
 
     def __init__(self, path: str):
@@ -77,13 +78,19 @@ class Ids:
         self.last = np.zeros(max(tokens.values(), default=0) + 1, dtype=bool)
         if mark:
             self.last[[n for token, n in tokens.items() if token.endswith(mark)]] = True
-        self._forget()
-
-    def _forget(self) -> None:
-        self.number: dict[str, int] = {}  # word -> its place in the two arrays
-        self.start, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.number: dict[str, int] = {}  # word -> its place in the arrays
+        self.start, self.size, self.met = (np.zeros(0, np.int64) for _ in range(3))
         self.flat = np.zeros(0, "<u4")
 
+    def forget(self, most: int) -> None:
+        """Keeps words met more than once, ``most`` of them at most, the most often met."""
+        often = np.partition(self.met, -most)[-most] if len(self.met) > most else 0
+        kept = np.flatnonzero(self.met > max(1, often))
+        words = list(self.number)
+        self.number = {words[k]: n for n, k in enumerate(kept.tolist())}
+        self.flat, stops = taken(self.flat, self.start, self.size, kept)
+        self.start, self.size, self.met = stops[:-1], np.diff(stops), self.met[kept] // 2 + 1
+
     def of(self, texts: list[str]) -> list[bytes]:
         """All ids of each text as little-endian 32-bit numbers."""
         return [ids.tobytes() for ids in self.arrays(pa.array(texts, pa.string()))]
@@ -119,11 +126,12 @@ class Ids:
         new = [word for word, n in zip(words, found) if n is None]
         if new:
             if len(self.number) + len(new) > KEPT_WORDS:
-                self._forget()
-                new = words
+                self.forget(KEPT_WORDS // 2)
+                new = [word for word in words if word not in self.number]
             self._learn(new)
             found = list(map(self.number.__getitem__, words))
         at = np.array(found, np.int64)
+        self.met[at] += 1
         return self.flat, self.start[at], self.size[at]
 
     def _learn(self, words: list[str]) -> None:
@@ -139,6 +147,7 @@ class Ids:
         self.number.update(zip(words, range(n, n + len(words))))
         self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(size) - size])
         self.size = np.concatenate([self.size, size])
+        self.met = np.concatenate([self.met, np.zeros(len(words), np.int64)])
         self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(made.values()), "<u4")])
 
     def _merged(self, words: list[str]) -> list[bytes]:
@@ -203,6 +212,9 @@ def pieces(
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(zip(*out), kinds)], names
                 )
+        if vocabulary in kept:
+            kept[vocabulary].forget(COMMON_WORDS)
+            give_back()
 
     names = ["doc_id", "th", "piece", "start", "length", "ids_crc32"]
     kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardwarden.llm.components import components
-from cardwarden.llm.frames import ROW, keyed_rows, same_row, texts, written
+from cardwarden.llm.frames import ROW, give_back, keyed_rows, same_row, texts, written
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
@@ -72,6 +72,7 @@ def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
                 ],
                 ["doc_id", "th", "fp"],
             )
+        give_back()
 
     return texts(docs).mapInArrow(compute, "doc_id long, th long, fp long")
 
