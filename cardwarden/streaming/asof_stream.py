@@ -6,10 +6,11 @@ the watermark and nothing is dropped: rows behind it are matched with what the s
 still holds, rows without an account or time pass by the state. ``settled`` takes the
 last revision of every row: as many rows as went in, at any moment of the stream.
 
-State per key is a map from time bucket to rows, for open transactions and for logins.
-A transaction is open, that is, revised by late logins, until the watermark has passed
-its bucket; a timer then drops that bucket alone. Logins older than ``keep`` behind the
-watermark are folded, bucket by bucket, into the newest of them.
+State per key is rows in time buckets, for open transactions and for logins. Those of
+an ordinary key are one value; a key with many rows has a map from bucket to rows
+(``Buckets``). A transaction is open, that is, revised by late logins, until the
+watermark has passed its bucket; the key's one timer waits for the first bucket to drop.
+Logins older than ``keep`` behind the watermark are folded into the newest of them.
 """
 
 from __future__ import annotations
@@ -40,66 +41,99 @@ def use_rocksdb(spark: SparkSession) -> None:
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-class Buckets:
-    """Rows of one key in a map state, a value for each span of ``width`` microseconds.
+PACKED = T.StructType([T.StructField("packed", T.BinaryType())])
+_PLACE = T.StructType([T.StructField("part", T.StringType()), T.StructField("bucket", T.LongType())])
+HEAD_ROWS = 256  # rows of one part that lie in the key's head
+
 
-    Only buckets that are asked for are read; those that changed are written by ``flush``.
+class Head:
+    """What a key's state begins with: one value, read and written once for each touch of the key.
+
+    The lists that are too long for it lie in a map state beside it.
     """
 
-    def __init__(self, handle: StatefulProcessorHandle, name: str, width: int):
-        packed = T.StructType([T.StructField("rows", T.BinaryType())])
-        self.map = handle.getMapState(name, T.StructType([T.StructField("bucket", T.LongType())]), packed)
-        self.list = handle.getValueState(f"{name}_list", packed)  # which buckets there are, in order
-        self.width = width
-        self.forget()
+    def __init__(self, handle: StatefulProcessorHandle):
+        self.value = handle.getValueState("head", PACKED)
+        self.lists = handle.getMapState("lists", _PLACE, PACKED)
+
+    def get(self, nothing: tuple) -> tuple:
+        there = self.value.get()
+        return pickle.loads(there[0]) if there is not None else nothing
+
+    def put(self, parts: tuple) -> None:
+        self.value.update((pickle.dumps(parts),))
+
+
+class Buckets:
+    """Rows of one part of a key's state, a list for each span of ``width`` microseconds.
+
+    The lists lie in the head as long as they have few rows together. When they have
+    more, all of them move to the map state: there only lists that are asked for are
+    read, and only those that changed are written.
+    """
 
-    def forget(self) -> None:
-        """Another key follows."""
-        self.held: dict[int, list] = {}
-        self.changed: set[int] = set()
-        self.order: list[int] | None = None
-        self.order_changed = False
+    def __init__(self, head: Head, part: str, width: int, packed: tuple[list, dict] | None = None):
+        self.lists, self.part, self.width = head.lists, part, width
+        self.order, self.near = packed or ([], {})  # which buckets there are, in order; the head's lists
+        self.far: dict[int, list] = {}  # lists read from the map
+        self.changed: set[int] = set()  # of ``far``
 
     def all(self) -> list[int]:
-        if self.order is None:
-            self.order = pickle.loads(self.list.get()[0]) if self.list.exists() else []
         return self.order
 
     def rows(self, bucket: int) -> list:
-        if bucket not in self.held:
-            there = bisect_left(order := self.all(), bucket)
-            known = there < len(order) and order[there] == bucket
-            self.held[bucket] = pickle.loads(self.map.getValue((bucket,))[0]) if known else []
-        return self.held[bucket]
+        if bucket in self.near:
+            return self.near[bucket]
+        if bucket not in self.far:
+            there = bisect_left(self.order, bucket)
+            if there == len(self.order) or self.order[there] != bucket:
+                return []
+            self.far[bucket] = pickle.loads(self.lists.getValue((self.part, bucket))[0])
+        return self.far[bucket]
 
     def add(self, at: int, row: tuple) -> int:
         """Puts the row in order among those of its bucket; returns the bucket."""
         bucket = at // self.width
         rows = self.rows(bucket)
         if not rows:
-            insort(self.all(), bucket)
-            self.order_changed = True
+            insort(self.order, bucket)
+            self.near[bucket] = rows
         insort(rows, row, key=lambda r: r[0])
-        self.changed.add(bucket)
+        if bucket in self.far:
+            self.changed.add(bucket)
         return bucket
 
     def put(self, bucket: int, rows: list) -> None:
-        self.held[bucket] = rows
-        self.changed.add(bucket)
-
-    def drop(self, bucket: int) -> None:
-        self.all().remove(bucket)
-        self.order_changed = True
-        self.held.pop(bucket, None)
-        self.changed.discard(bucket)
-        self.map.removeKey((bucket,))
-
-    def flush(self) -> None:
+        if bucket in self.near:
+            self.near[bucket] = rows
+        else:
+            self.far[bucket] = rows
+            self.changed.add(bucket)
+
+    def drop(self, passed: int) -> None:
+        """Forgets the buckets before ``passed``."""
+        gone = bisect_left(self.order, passed)
+        for bucket in self.order[:gone]:
+            if self.near.pop(bucket, None) is None:
+                self.far.pop(bucket, None)
+                self.changed.discard(bucket)
+                self.lists.removeKey((self.part, bucket))
+        del self.order[:gone]
+
+    def size(self) -> int:
+        """Rows in the head."""
+        return sum(map(len, self.near.values()))
+
+    def pack(self, most: int | None = None) -> tuple[list, dict]:
+        """What belongs into the head, at most ``most`` rows; the rest is written to the map."""
+        if self.size() > (HEAD_ROWS if most is None else most):
+            self.far |= self.near
+            self.changed |= set(self.near)
+            self.near = {}
         for bucket in self.changed:
-            self.map.updateValue((bucket,), (pickle.dumps(self.held[bucket]),))
-        if self.order_changed:
-            self.list.update((pickle.dumps(self.order),))
-        self.forget()
+            self.lists.updateValue((self.part, bucket), (pickle.dumps(self.far[bucket]),))
+        self.changed = set()
+        return self.order, self.near
 
 
 class LoginMatcher(StatefulProcessor):
@@ -122,26 +156,38 @@ class LoginMatcher(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.open = Buckets(handle, "open", self.width)
-        self.logins = Buckets(handle, "logins", self.width)
-        packed = T.StructType([T.StructField("row", T.BinaryType())])
-        self.oldest = handle.getValueState("oldest", packed)  # the newest of the folded logins
-        self.count = handle.getValueState("count", T.StructType([T.StructField("n", T.LongType())]))
+        self.head = Head(handle)
+
+    def _load(self) -> None:
+        # ``oldest`` is the newest of the folded logins, ``due`` the time of the timer to come.
+        self.number, self.oldest, self.due, spends, logins = self.head.get((0, None, None, None, None))
+        self.open = Buckets(self.head, "open", self.width, spends)
+        self.logins = Buckets(self.head, "logins", self.width, logins)
+
+    def _store(self) -> None:
+        """Writes the state; one timer waits for the first bucket that ends."""
+        ends = [(order[0] + 1) * self.width + more for order, more in ((self.open.all(), 0), (self.logins.all(), self.keep)) if order]
+        due = min(ends, default=None)
+        if due is not None and due != self.due:
+            self.handle.registerTimer(due // 1000)
+        self.due = due
+        self.head.put((self.number, self.oldest, due, self.open.pack(), self.logins.pack()))
 
     @staticmethod
-    def _rows(frame: pd.DataFrame, schema: T.StructType) -> list[tuple]:
-        """Tuples in schema order, None for what is missing.
+    def _rows(frame: pd.DataFrame, schema: T.StructType, those: list[int]) -> list[tuple]:
+        """Tuples in schema order of the rows ``those``, None for what is missing.
 
         A batch column of whole numbers with gaps arrives as floats, so each value is
         made whole again.
         """
         columns = []
-        for field in schema.fields:
+        for field in schema.fields if those else ():
             col = frame[field.name]
-            make = int if isinstance(field.dataType, T.IntegralType) else lambda v: v
-            columns.append([
-                None if gone else make(v) for v, gone in zip(col.tolist(), col.isna().tolist())
-            ])
+            values, gone = col.tolist(), col.isna().tolist()
+            if isinstance(field.dataType, T.IntegralType):
+                columns.append([None if gone[i] else int(values[i]) for i in those])
+            else:
+                columns.append([None if gone[i] else values[i] for i in those])
         return list(zip(*columns))
 
     def _order(self, login: tuple) -> tuple:
@@ -159,32 +205,28 @@ class LoginMatcher(StatefulProcessor):
         before = bisect_left(order, bucket)
         if before:
             return self.logins.rows(order[before - 1])[-1][1]
-        folded = pickle.loads(self.oldest.get()[0]) if self.oldest.exists() else None
-        return folded if folded and folded[0] <= at else None
+        return self.oldest if self.oldest and self.oldest[0] <= at else None
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        number = first = self.count.get()[0] if self.count.exists() else 0
+        self._load()
         for batch in rows:
-            is_txn = batch["is_txn"].astype(bool)
+            is_txn = batch["is_txn"].tolist()
             out: list[tuple] = []
-            changed = {self._add_login(login, passed) for login in self._rows(batch[~is_txn], self.login_schema)}
+            logins = self._rows(batch, self.login_schema, [i for i, mine in enumerate(is_txn) if not mine])
+            changed = {self._add_login(login, passed) for login in logins}
             if changed:
                 out += self._revised(key, min(changed))
-            for txn in self._rows(batch[is_txn], self.txn_schema):
+            for txn in self._rows(batch, self.txn_schema, [i for i, mine in enumerate(is_txn) if mine]):
                 login = self._latest(txn[0])
                 late = txn[0] <= passed
-                out.append(self._told(key, number, 0, late, txn, login))
+                out.append(self._told(key, self.number, 0, late, txn, login))
                 if not late:
-                    bucket = self.open.add(txn[0], (txn[0], number, 0, txn, login))
-                    self.handle.registerTimer((bucket + 1) * self.width // 1000)
-                number += 1
+                    self.open.add(txn[0], (txn[0], self.number, 0, txn, login))
+                self.number += 1
             if out:
                 yield pd.DataFrame(out, columns=self.out_names, dtype=object)
-        if number > first:
-            self.count.update((number,))
-        self.open.flush()
-        self.logins.flush()
+        self._store()
 
     def _told(self, key, number: int, revision: int, late: bool, txn: tuple, login: tuple | None) -> tuple:
         nothing = (None,) * len(self.login_schema.fields)
@@ -197,13 +239,11 @@ class LoginMatcher(StatefulProcessor):
             self._fold(login)
         else:
             self.logins.add(login[0], (self._order(login), login))
-            self.handle.registerTimer(((bucket + 1) * self.width + self.keep) // 1000)
         return bucket
 
     def _fold(self, login: tuple) -> None:
-        folded = pickle.loads(self.oldest.get()[0]) if self.oldest.exists() else None
-        if not folded or self._order(folded) < self._order(login):
-            self.oldest.update((pickle.dumps(login),))
+        if not self.oldest or self._order(self.oldest) < self._order(login):
+            self.oldest = login
 
     def _revised(self, key, first: int) -> list[tuple]:
         """Open transactions from a bucket on whose login is another one now."""
@@ -223,13 +263,14 @@ class LoginMatcher(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        for bucket in [b for b in self.open.all() if (b + 1) * self.width <= passed]:
-            self.open.drop(bucket)
-        for bucket in [b for b in self.logins.all() if (b + 1) * self.width + self.keep <= passed]:
-            self._fold(self.logins.rows(bucket)[-1][1])
-            self.logins.drop(bucket)
-        self.open.flush()
-        self.logins.flush()
+        self._load()
+        self.open.drop(passed // self.width)
+        old = (passed - self.keep) // self.width  # the first bucket of logins that is kept apart
+        order = self.logins.all()
+        if order and order[0] < old:
+            self._fold(self.logins.rows(order[bisect_left(order, old) - 1])[-1][1])
+            self.logins.drop(old)
+        self._store()
         return iter([])
 
     def close(self) -> None:
