@@ -161,10 +161,11 @@ def _starts(segments: DataFrame, height: int) -> DataFrame:
     whole = halves.select("c", F.col("up").alias("i"), digest(F.col("left"), F.coalesce("right", F.lit(""))).alias("name"))
     starts = _starts(whole, (height + 1) // 2).withColumnRenamed("i", "up")
     both = halves.join(starts, ["c", "up"])
+    # One row is both halves: read twice, each level would double the plan of those above it.
     i = F.col("up") * 2
-    return both.select("c", i.alias("i"), "start").unionByName(
-        both.where(F.col("right").isNotNull()).select("c", (i + 1).alias("i"), digest(F.col("start"), F.col("left")).alias("start"))
-    )
+    first = F.struct(i.alias("i"), F.col("start"))
+    second = F.struct((i + 1).alias("i"), digest(F.col("start"), F.col("left")).alias("start"))
+    return both.select("c", F.inline(F.when(F.col("right").isNull(), F.array(first)).otherwise(F.array(first, second))))
 
 
 def _nodes(named: DataFrame) -> DataFrame:

@@ -85,6 +85,17 @@ def test_trie_with_common_prefixes_and_no_rows(spark, monkeypatch):
     assert spark_trie(spark.createDataFrame([], CONVERSATIONS), 4) == []
 
 
+def test_plan_grows_with_the_levels_of_a_long_conversation(spark):
+    segments = 64  # six levels
+    rows = [(c, i, sha(f"{i}" if i < 40 else f"{c} {i}")) for c in (1, 2) for i in range(segments)]
+    starts = trie._starts(spark.createDataFrame(rows, "c long, i long, name string"), segments)
+    assert starts._jdf.queryExecution().optimizedPlan().toString().count("Join") <= 6
+    found = {(r.c, r.i): r.start for r in starts.collect()}
+    assert set(found) == {(c, i) for c in (1, 2) for i in range(segments)}
+    assert [found[1, i] == found[2, i] for i in range(segments)] == [i <= 40 for i in range(segments)]
+    assert len(set(found.values())) == 41 + 2 * 23
+
+
 def encoded(value):
     return "-" if value is None else f"{len(str(value).encode())}:{value}"
 
