@@ -127,7 +127,8 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) ->
     near = f"bit_count(a ^ b) <= {max_bits}"
     twos = full.where("n = 2").where(near).select("a", "b")
 
-    many = placed.join(full.where("n > 2").select("anchor", "n"), "anchor")
+    # Spark sizes ``placed`` as if it had a row a fingerprint, and would broadcast all the copies.
+    many = placed.join(full.where("n > 2").select("anchor", "n").hint("merge"), "anchor")
     blocks = F.ceil(F.col("n") / block).cast("long")
     grouped = (
         many.withColumn("own", F.pmod(F.xxhash64("fp", F.lit(1)), blocks))
